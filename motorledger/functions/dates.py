@@ -22,7 +22,8 @@ def when_at(text: str) -> Column:
 def parse_ts(c: ColumnLike, formats: Iterable[str] = V.DATE_FORMATS) -> Column:
     """Text in ISO form or any of ``formats`` to a timestamp, else null."""
     text = F.trim(as_col(c).cast("string"))
-    tries = [text.try_cast(NTZ)]
+    # the cast also takes years of five and more digits, which here are months or days
+    tries = [F.when(text.rlike(r"^\d{4}(-|$)"), text.try_cast(NTZ))]
     tries += [F.try_to_timestamp(text, F.lit(f)).cast(NTZ) for f in formats]
     return F.coalesce(*tries)
 

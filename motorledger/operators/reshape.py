@@ -75,5 +75,5 @@ def filter_attributes(df: DataFrame, attribute: str, drop: str | None = None, ke
 
 def explode_ids(df: DataFrame, col: str, name: str) -> DataFrame:
     """A comma list of ids to one row per id; blanks are no ids."""
-    parts = F.transform(F.split(F.col(col), ","), F.trim)
+    parts = F.transform(F.split(F.col(col), ","), lambda x: F.trim(x))
     return df.withColumn(name, F.explode(F.filter(parts, lambda x: x != "")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,16 @@ def cut_lineage(df):
             named = tempfile.mkdtemp(prefix="motorledger-checkpoint-")
         context.setCheckpointDir(named)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder all executors can reach, below the one ``spark.checkpoint.dir`` names.
+
+    A scratch folder of this machine is only used by local sessions that name none.
+    """
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="motorledger-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"

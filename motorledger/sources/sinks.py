@@ -57,12 +57,16 @@ def write_replace(df: DataFrame, path: str, fmt: str = "parquet", allow_empty: b
     return rows
 
 
-def read_current(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+def read_current(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, **options
+) -> DataFrame:
     """The latest published content."""
     versions = _versions(spark, path)
     if not versions:
         raise FileNotFoundError(path)
-    return spark.read.format(fmt).options(**options).load(f"{path}/v={versions[-1]}")
+    reader = spark.read.format(fmt).options(**options)
+    reader = reader if schema is None else reader.schema(schema)
+    return reader.load(f"{path}/v={versions[-1]}")
 
 
 def write_append(df: DataFrame, path: str) -> None:
