@@ -56,10 +56,14 @@ def zero(c: ColumnLike) -> Column:
 
 def row_sum(cols: Iterable[ColumnLike], min_count: int = 0) -> Column:
     """Sum across columns, null as 0; null when fewer than ``min_count`` are present."""
-    cols = [as_col(c) for c in cols]
-    total = reduce(add, (zero(c) for c in cols))
+    cols = list(cols)
+    if all(isinstance(c, str) for c in cols):
+        total = F.expr(" + ".join(f"coalesce(`{c}`, 0.0D)" for c in cols))
+    else:
+        total = reduce(add, (zero(c) for c in cols))
     if min_count <= 0:
         return total
+    cols = [as_col(c) for c in cols]
     return F.when(_present(cols) >= min_count, total)
 
 

@@ -130,8 +130,8 @@ def numbers(df: DataFrame, cols: Iterable[str], mode: str = "coerce", default: f
         if c not in types:
             continue
         if isinstance(types[c], T.NumericType):
-            value = F.col(c).cast("double")
-            out[c] = value if default is None else F.coalesce(value, F.lit(float(default)))
+            value = f"cast(`{c}` as double)"
+            out[c] = F.expr(value if default is None else f"coalesce({value}, {float(default)}D)")
         else:
             out[c] = to_number(c, mode, default)
     return df.withColumns(out) if out else df

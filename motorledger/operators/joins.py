@@ -1,15 +1,16 @@
 """Lookups and joins on ledger keys.
 
 Two things make ledger keys dangerous at scale: rows without a key all hash to one
-partition, and one placeholder key can own a large share of the rows. Rows without a
-key are spread by a hash of the row, they can never match. For a lookup whose right
-side has one row per key the heaviest keys are answered from a broadcast of at most
-``HEAVY_KEYS`` rows and their fact rows are spread like keyless ones. The number of
-broadcast rows is a constant, so it never grows with the data; all other keys go
-through the ordinary shuffle join.
-
-Everything else is left to Catalyst: it compares the measured size of a side with its
-broadcast threshold, and adaptive execution splits skewed partitions.
+partition, and one placeholder key can own a large share of the rows.
+
+* Rows without a key can never match. They get a second join key out of a hash of the
+  row, so they spread over all partitions; rows with a key have 0 there, like the right.
+* That second key makes both sides of a lookup arrive by a shuffle of their own, the form
+  in which adaptive execution can split a partition that a heavy key made too large.
+* Group aggregates put back on their rows know their heaviest keys already. At most
+  ``HEAVY_KEYS`` of them are broadcast, a constant, and never shuffle their rows together.
+
+Which side is broadcast is otherwise left to Catalyst, which compares sizes first.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from motorledger.operators.keep import latest_per_key
 
 HEAVY_KEYS = 256
 _SPREAD_OVER = 4096
+_SPREAD_COLUMNS = 4
 _SPREAD = "_spread"
 
 
@@ -40,23 +42,34 @@ def _no_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
 
 
-def _spread_of(df: DataFrame) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SPREAD_OVER)) + 1
+def _spread_of(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A number out of a few other columns. Only a few, so that unused columns stay unread."""
+    some = [c for c in df.columns if c not in keys][:_SPREAD_COLUMNS] or list(keys)
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in some]), F.lit(_SPREAD_OVER)) + 1
 
 
 def _with_spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """0 for rows that may match, another number for rows that cannot."""
-    return df.withColumn(_SPREAD, F.when(_no_key(keys), _spread_of(df)).otherwise(F.lit(0)))
+    return df.withColumn(_SPREAD, F.when(_no_key(keys), _spread_of(df, keys)).otherwise(F.lit(0).cast("bigint")))
 
 
 def _right(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) -> DataFrame:
     picked = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    return (
-        df.where(~_no_key(keys))
-        .select(*picked, *[F.col(c).alias(new) for c, new in cols.items()])
+    return df.where(~_no_key(keys)).select(
+        *picked, _zero_of(*keys).alias("_r0"), *[F.col(c).alias(new) for c, new in cols.items()]
     )
 
 
+def _zero_of(*keys: str) -> Column:
+    """Always 0, but not a literal: a literal would be folded out of the join keys."""
+    return F.xxhash64(*keys).bitwiseAND(F.lit(0).cast("bigint"))
+
+
+def _same(keys: Sequence[str], zero_name: str) -> Column:
+    pairs = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    return _all([*pairs, F.col(_SPREAD) == F.col(zero_name)])
+
+
 def _columns(right: DataFrame, keys: Sequence[str], cols) -> dict[str, str]:
     if cols is None:
         cols = [c for c in right.columns if c not in keys]
@@ -82,65 +95,43 @@ def left_lookup(
         r = right.select(*keys, *[F.col(c).alias(n) for c, n in picked.items()])
         condition = _all([F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(on)])
         return left.join(r, condition, "left").select(*left.columns, *picked.values())
-    r = _right(right, right_on, picked).withColumn("_r0", F.lit(0))
-    condition = _all([F.col(k) == F.col(f"_k{i}") for i, k in enumerate(on)])
-    joined = _with_spread(left, on).join(r, condition & (F.col(_SPREAD) == F.col("_r0")), "left")
+    r = _right(right, right_on, picked)
+    joined = _with_spread(left, on).join(r, _same(on, "_r0"), "left")
     return joined.select(*left.columns, *picked.values())
 
 
-def unique_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """Left join to a right side with one row per key, safe for heavy keys on the left.
+def attach_group(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """Put group aggregates on every row without a window over the whole group.
 
-    ``counts`` may hold the key columns and their row count ``_n`` when known already.
+    The aggregate is combined map-side, so it is small, and it also knows the heaviest
+    keys. Those are answered from the broadcast, their rows are spread. Both uses read
+    every column of the aggregate, so its shuffle is planned once and reused.
     """
-    on = list(on)
-    values = [c for c in right.columns if c not in on]
-    if counts is None:
-        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = (
-        counts.where(~_no_key(on))
-        .orderBy(F.col("_n").desc(), *[F.col(k) for k in on])
-        .limit(HEAVY_KEYS)
-        .select(*on)
+    keys, names = list(keys), list(aggs)
+    grouped = (
+        df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], F.count(F.lit(1)).alias("_n"))
+        .where(~_no_key(keys) & (F.col("_n") > 0))
     )
-    answer = (
-        right.join(F.broadcast(heavy), on, "left_semi")
-        .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(on)], F.struct(*[F.col(v) for v in values]).alias("_hv"))
+    heavy = grouped.orderBy(F.col("_n").desc(), *keys).limit(HEAVY_KEYS).select(
+        *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.struct(*names).alias("_hv")
     )
-    first = left.join(
-        F.broadcast(answer), _all([F.col(k) == F.col(f"_h{i}") for i, k in enumerate(on)]), "left"
-    ).select(*left.columns, "_hv")
+    first = df.join(
+        F.broadcast(heavy), _all([F.col(k) == F.col(f"_h{i}") for i, k in enumerate(keys)]), "left"
+    ).select(*df.columns, "_hv")
     # copies of one row share a content hash, so heavy rows are spread by task as well
-    by_task = F.pmod(_spread_of(left) + F.spark_partition_id() * 31, F.lit(_SPREAD_OVER)) + 1
-    spread = F.when(_no_key(on) | F.col("_hv").isNotNull(), by_task).otherwise(F.lit(0))
-    rest = _right(right, on, {v: f"_v_{v}" for v in values}).withColumn("_r0", F.lit(0))
-    joined = first.withColumn(_SPREAD, spread).join(
-        rest,
-        _all([F.col(k) == F.col(f"_k{i}") for i, k in enumerate(on)])
-        & (F.col(_SPREAD) == F.col("_r0")),
-        "left",
+    by_task = F.pmod(_spread_of(df, keys) + F.spark_partition_id() * 31, F.lit(_SPREAD_OVER)) + 1
+    spread = F.when(_no_key(keys) | F.col("_hv").isNotNull(), by_task).otherwise(F.lit(0).cast("bigint"))
+    rest = grouped.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], _zero_of(*keys).alias("_r0"),
+        *[F.col(n).alias(f"_v_{n}") for n in names],
     )
+    joined = first.withColumn(_SPREAD, spread).join(rest, _same(keys, "_r0"), "left")
     return joined.select(
-        *left.columns,
-        *[
-            F.when(F.col("_hv").isNotNull(), F.col("_hv")[v]).otherwise(F.col(f"_v_{v}")).alias(v)
-            for v in values
-        ],
+        *df.columns,
+        *[F.when(F.col("_hv").isNotNull(), F.col("_hv")[n]).otherwise(F.col(f"_v_{n}")).alias(n) for n in names],
     )
 
 
-def attach_group(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
-    """Put group aggregates on every row without a window over the whole group."""
-    keys = list(keys)
-    grouped = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], F.count(F.lit(1)).alias("_n"))
-    return unique_lookup(df, grouped.drop("_n"), keys, grouped.select(*keys, "_n"))
-
-
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full outer join; the keys of both sides become one column."""
     return left.join(right, list(on), "full")
@@ -173,10 +164,8 @@ def star_join(fact: DataFrame, key: str, lookups: Sequence[Lookup]) -> DataFrame
         unique = latest_per_key(
             item.table.select(*needed).where(F.col(key).isNotNull()), [key], item.latest_by
         )
-        side = unique.select(F.col(key).alias(f"_k{i}"), F.lit(0).alias(f"_r{i}"), *cols)
-        out = out.join(
-            side, (F.col(key) == F.col(f"_k{i}")) & (F.col(_SPREAD) == F.col(f"_r{i}")), "left"
-        ).drop(f"_k{i}", f"_r{i}")
+        side = unique.select(F.col(key).alias("_k0"), _zero_of(key).alias("_r0"), *cols)
+        out = out.join(side, _same([key], "_r0"), "left").drop("_k0", "_r0")
     return out.drop(_SPREAD)
 
 
@@ -193,9 +182,8 @@ def _membership(left, right, on, right_on, how):
     keys = right.select(F.col(right_on or on).alias("_k0")).where(F.col("_k0").isNotNull()).distinct()
     if how == "left_semi":
         return left.where(F.col(on).isNotNull()).join(keys, F.col(on) == F.col("_k0"), how)
-    keys = keys.withColumn("_r0", F.lit(0))
-    condition = (F.col(on) == F.col("_k0")) & (F.col(_SPREAD) == F.col("_r0"))
-    return _with_spread(left, [on]).join(keys, condition, how).select(*left.columns)
+    keys = keys.withColumn("_r0", _zero_of("_k0"))
+    return _with_spread(left, [on]).join(keys, _same([on], "_r0"), how).select(*left.columns)
 
 
 def flag_in(
@@ -207,7 +195,7 @@ def flag_in(
         right.select(F.col(right_on or on).alias(on)).where(F.col(on).isNotNull()).distinct()
         .withColumn("_found", F.lit(True))
     )
-    out = unique_lookup(left, keys, [on])
+    out = left_lookup(left, keys, [on])
     return out.withColumn(name, F.when(F.col("_found"), F.lit(yes)).otherwise(F.lit(no))).drop("_found")
 
 
@@ -217,7 +205,7 @@ def latest_lookup(
     """Look up in the latest right row per key."""
     on = list(on)
     unique = latest_per_key(right.where(~_no_key(on)), on, order).select(*on, *cols)
-    return unique_lookup(left, unique, on)
+    return left_lookup(left, unique, on)
 
 
 def suffix_join(left: DataFrame, right: DataFrame, col: str, cols: Sequence[str], order: Sequence[str], n: int = 6) -> DataFrame:
@@ -232,7 +220,7 @@ def key_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], right_on: S
     key = "_match_key"
     r = right.withColumn(key, match_key(right_on))
     unique = latest_per_key(r.select(key, *cols), [key], [], last=False)
-    return unique_lookup(left.withColumn(key, match_key(on)), unique, [key]).drop(key)
+    return left_lookup(left.withColumn(key, match_key(on)), unique, [key]).drop(key)
 
 
 def qualify_store(df: DataFrame, series_dim: DataFrame, store: str, series: str, network: str | None = None) -> DataFrame:
@@ -329,7 +317,7 @@ def asof_lookup(
     l = left.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(ts).alias("_t"), F.lit(1).alias("_side"),
-        F.when(_no_key(keys) | F.col(ts).isNull(), -_spread_of(left)).otherwise(bucket(F.col(ts))).alias("_b"),
+        F.when(_no_key(keys) | F.col(ts).isNull(), -_spread_of(left, keys)).otherwise(bucket(F.col(ts))).alias("_b"),
         F.struct(*[F.col(c) for c in left.columns]).alias("_l"),
     )
     r = right.where(~_no_key(keys) & F.col(start).isNotNull()).select(

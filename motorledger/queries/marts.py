@@ -9,7 +9,7 @@ from motorledger.operators.rows import prefer_rows
 from motorledger.plans import accessories, app, costs, dashboard, film, finance, orders, products, sales, scores, stock
 from motorledger.queries.registry import Tables, query
 from motorledger.queries.shapes import monthly_wide
-from motorledger.session import shared_folder
+from motorledger.session import shared_folder, written
 from motorledger.sources.ledgers import read_ledger_dir
 from motorledger.sources.tables import read_documents
 
@@ -292,7 +292,7 @@ FINAL = f"""{PROFIT}, {MOVED}, {ORDERS},
 
 
 def final_of(t: Tables) -> DataFrame:
-    profit, (loose, _) = profit_of(t), used_parts(t)
+    profit, (loose, _) = written(profit_of(t), "profit"), used_parts(t)
     return sales.sales_final(profit, loose, sales.transfers(t.transfer_business, profit), orders_of(t), t.stock)
 
 
@@ -317,7 +317,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     paid = accessories.paid(decoration_lines(t))
-    sold, _, moved = sales.export_tables(final_of(t), paid, ["team", "store"], ["unit_profit"], CUT)
+    sold, _, moved = sales.export_tables(written(final_of(t), "final"), paid, ["team", "store"], ["unit_profit"], CUT)
     cols = ["vin", "store", "team", "sale_date"]
     a = sold.where(F.col("vin") != "二手车返利").select(F.lit("sales").alias("kind"), *cols)
     return a.unionByName(moved.where(F.col("vin") != "二手车返利").select(F.lit("transfers").alias("kind"), *cols))

@@ -18,6 +18,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -25,16 +26,15 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.view(name) if name in VIEWS else self.spark.read.parquet(self.path(name))
+        if name not in self._read:
+            self._read[name] = self.sql(VIEWS[name]) if name in VIEWS else self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
     def sql(self, text: str) -> DataFrame:
         """Run shared SQL text; ``{name}`` stands for a given table."""
         names = set(re.findall(r"\{(\w+)\}", text))
         return self.spark.sql(text, **{n: getattr(self, n) for n in names})
 
-    def view(self, name: str) -> DataFrame:
-        return self.sql(VIEWS[name])
-
 
 @dataclass(frozen=True)
 class Query:

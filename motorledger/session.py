@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle: int = 8)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -57,6 +58,13 @@ def cut_lineage(df):
     return df.checkpoint()
 
 
+def written(df, name: str):
+    """Write ``df`` to the shared folder and read it back, for results used several times."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder all executors can reach, below the one ``spark.checkpoint.dir`` names.
 
