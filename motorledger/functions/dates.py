@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from motorledger import values as V
 from motorledger.functions.nulls import ColumnLike, as_col
+from motorledger.functions.numbers import to_number
 
 NTZ = "timestamp_ntz"
 _DAY_MICROS = 86_400_000_000
@@ -19,13 +18,22 @@ def when_at(text: str) -> Column:
     return F.lit(text).cast(NTZ)
 
 
-def parse_ts(c: ColumnLike, formats: Iterable[str] = V.DATE_FORMATS) -> Column:
-    """Text in ISO form or any of ``formats`` to a timestamp, else null."""
-    text = F.trim(as_col(c).cast("string"))
+def _to_iso(text: Column) -> Column:
+    """Slashes and the Chinese unit words become dashes, eight digits get theirs."""
+    plain = F.translate(text, V.DATE_MARKS, "---")
+    digits = F.concat_ws("-", F.left(plain, F.lit(4)), F.substring(plain, 5, 2), F.right(plain, F.lit(2)))
+    return F.when((F.length(plain) == 8) & ~plain.contains("-"), digits).otherwise(plain)
+
+
+def parse_ts(c: ColumnLike) -> Column:
+    """Text in any usual form to a timestamp, else null.
+
+    The forms are brought to the ISO one first, so a single cast decides. Trying one
+    format after the other would cost an exception inside the task for every miss.
+    """
+    iso = _to_iso(F.trim(as_col(c).cast("string")))
     # the cast also takes years of five and more digits, which here are months or days
-    tries = [F.when(text.rlike(r"^\d{4}(-|$)"), text.try_cast(NTZ))]
-    tries += [F.try_to_timestamp(text, F.lit(f)).cast(NTZ) for f in formats]
-    return F.coalesce(*tries)
+    return F.when(iso.rlike(r"^\d{4}(-|$)"), iso.try_cast(NTZ))
 
 
 def parse_cn_date(c: ColumnLike) -> Column:
@@ -33,11 +41,8 @@ def parse_cn_date(c: ColumnLike) -> Column:
     text = F.trim(as_col(c))
     monthly = text.contains("年") & text.contains("月") & ~text.contains("日")
     text = F.when(monthly, F.concat(text, F.lit("1日"))).otherwise(text)
-    full = F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
-    )
-    return F.coalesce(full, F.try_to_timestamp(text, F.lit("yyyy年M月d日"))).cast(NTZ)
+    known = text.rlike(r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}|\d{4}年\d{1,2}月\d{1,2}日)$")
+    return F.when(known, _to_iso(text).try_cast(NTZ))
 
 
 def _first_day(year: Column, month: Column) -> Column:
@@ -45,24 +50,25 @@ def _first_day(year: Column, month: Column) -> Column:
     return F.when(possible, F.make_date(year, month, F.lit(1)))
 
 
+def _found(text: Column, pattern: str, group: int) -> Column:
+    """Digits found by a pattern as a number, null when nothing is found."""
+    digits = F.regexp_extract(text, pattern, group)
+    return F.when(digits != "", digits.cast("int"))
+
+
 def month_start(c: ColumnLike) -> Column:
     """First day of the month meant by the text, else null."""
     text = F.trim(as_col(c).cast("string"))
     cn = r"(\d{4})\s*年\s*(\d{1,2})\s*月"
     six = r"^(\d{4})(\d{2})$"
-    named = [
-        _first_day(
-            F.regexp_extract(text, p, 1).try_cast("int"), F.regexp_extract(text, p, 2).try_cast("int")
-        )
-        for p in (cn, six)
-    ]
+    named = [_first_day(_found(text, p, 1), _found(text, p, 2)) for p in (cn, six)]
     parsed = F.trunc(parse_ts(text).cast("date"), "month")
     return F.coalesce(named[0], parsed, named[1])
 
 
 def month_end_from(year: ColumnLike, month: ColumnLike) -> Column:
     """Last day of the month from digits found in a year text and a month text."""
-    y, m = (F.regexp_extract(as_col(c).cast("string"), r"(\d+)", 1).try_cast("int") for c in (year, month))
+    y, m = (_found(as_col(c).cast("string"), r"(\d{1,9})", 1) for c in (year, month))
     return F.last_day(_first_day(y, m))
 
 
@@ -72,7 +78,7 @@ def month_end(c: ColumnLike) -> Column:
 
 def excel_date(c: ColumnLike) -> Column:
     """Spreadsheet day number to date."""
-    days = F.floor(as_col(c).try_cast("double")).try_cast("int")
+    days = F.floor(to_number(c, default=None)).try_cast("int")
     return F.date_add(F.lit(V.EXCEL_EPOCH).cast("date"), days)
 
 

@@ -11,11 +11,15 @@ from motorledger.functions.nulls import ColumnLike, as_col
 _MODES = ("coerce", "strip_commas", "digits_only")
 
 
+# A cast that fails costs an exception inside the task, so the shape is checked first.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+WHOLE = r"^[+-]?\d{1,18}$"
+
+
 def _parse(text: Column) -> Column:
-    """Text to double; unparseable text, ``nan`` and Java literals such as ``1d`` are null."""
+    """Text to double; words such as ``nan`` and Java literals such as ``1d`` are null."""
     text = F.trim(text)
-    plain = ~F.right(text, F.lit(1)).isin("d", "D", "f", "F")
-    return F.when(plain, F.nanvl(text.try_cast("double"), F.lit(None).cast("double")))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_number(
@@ -59,7 +63,7 @@ def phone_text(c: ColumnLike) -> Column:
     """Phone as plain digits; blank, null and zero give the empty text."""
     text = F.trim(as_col(c).cast("string"))
     whole = F.regexp_replace(text, r"\.0+$", "")
-    number = whole.try_cast("bigint")
+    number = F.when(whole.rlike(WHOLE), whole.try_cast("bigint"))
     return (
         F.when(text.isNull() | (text == "") | (number == 0), F.lit(""))
         .when(number.isNotNull(), number.cast("string"))

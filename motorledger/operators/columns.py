@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from motorledger import values as V
 from motorledger.functions.dates import NTZ, parse_ts
-from motorledger.functions.numbers import to_number
+from motorledger.functions.numbers import NUMBER, WHOLE, to_number
 from motorledger.functions.text import alias_value, header
 
 
@@ -78,6 +78,10 @@ def _convert(name: str, have: T.DataType, want: T.DataType) -> Column:
         return F.to_json(c).alias(name)
     if isinstance(have, T.StringType):
         c = F.when(~c.isin("", "null"), c)
+        if isinstance(want, T.IntegralType):
+            c = F.when(F.trim(c).rlike(WHOLE), c)
+        elif isinstance(want, T.NumericType):
+            c = F.when(F.trim(c).rlike(NUMBER), c)
     if isinstance(want, (T.TimestampType, T.TimestampNTZType)):
         return parse_ts(c).cast(want).alias(name)
     if isinstance(want, T.DateType):

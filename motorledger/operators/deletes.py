@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motorledger import values as V
-from motorledger.operators.joins import anti
+from motorledger.operators.joins import anti, flag_in
 from motorledger.operators.reshape import explode_ids
 
 CONTENTS = "Logo_IdOrCode string, Arr array<struct<ID: string, BillCode: string>>"
@@ -76,18 +76,17 @@ def delete_report(
     tables: Mapping[str, DataFrame], log: DataFrame,
     titles: Mapping[str, Sequence[str]], keys: Mapping[str, str],
 ) -> DataFrame:
-    """Rows before and rows deleted per table, and the number of log entries."""
-    parts = [log.agg(F.lit("delete_log").alias("table_name"), F.count(F.lit(1)).alias("rows"))
-             .withColumn("deleted", F.lit(0).cast("bigint"))]
-    after = apply_deletes(tables, log, titles, keys)
+    """Rows and rows to delete per table, and the number of log entries; one pass per table."""
+    parsed = parse_delete_log(log)
+    entries = log.agg(F.lit("delete_log").alias("table_name"), F.count(F.lit(1)).alias("rows"))
+    out = entries.withColumn("deleted", F.lit(0).cast("bigint"))
     for name, table in tables.items():
-        before = table.select(F.lit(name).alias("table_name"), F.lit(1).alias("was"), F.lit(0).alias("left_over"))
-        kept = after[name].select(F.lit(name).alias("table_name"), F.lit(0).alias("was"), F.lit(1).alias("left_over"))
-        parts.append(
-            before.unionByName(kept).groupBy("table_name")
-            .agg(F.sum("was").alias("rows"), (F.sum("was") - F.sum("left_over")).alias("deleted"))
+        hits = targets(name, titles, keys, table.columns)
+        marked = table.select(*[F.col(c).cast("string").alias(f"_id{i}") for i, c in enumerate(hits)], F.lit(False).alias("_gone"))
+        for i, names in enumerate(hits.values()):
+            marked = flag_in(marked, deleted_ids(parsed, names), f"_id{i}", "_hit", True, False, right_on="_id")
+            marked = marked.withColumn("_gone", F.col("_gone") | F.col("_hit")).drop("_hit")
+        out = out.unionByName(
+            marked.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count_if("_gone").alias("deleted"))
         )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
     return out

@@ -144,12 +144,13 @@ class Lookup:
     table: DataFrame | None
     cols: Sequence[str]
     latest_by: Sequence[str] = field(default_factory=tuple)
+    unique: bool = False
 
 
 def star_join(fact: DataFrame, key: str, lookups: Sequence[Lookup]) -> DataFrame:
     """Left join many tables to a fact on one key.
 
-    Each table is reduced to one row per key first, so nothing fans out. The spread
+    Each table that is not unique is reduced to one row per key first, so nothing fans out. The spread
     column stays until the end: all joins then share one partitioning of the fact.
     Tables that are missing and columns that do not exist are skipped.
     """
@@ -161,9 +162,9 @@ def star_join(fact: DataFrame, key: str, lookups: Sequence[Lookup]) -> DataFrame
         if not cols:
             continue
         needed = list(dict.fromkeys([key, *cols, *item.latest_by]))
-        unique = latest_per_key(
-            item.table.select(*needed).where(F.col(key).isNotNull()), [key], item.latest_by
-        )
+        unique = item.table.select(*needed).where(F.col(key).isNotNull())
+        if not item.unique:
+            unique = latest_per_key(unique, [key], item.latest_by)
         side = unique.select(F.col(key).alias("_k0"), _zero_of(key).alias("_r0"), *cols)
         out = out.join(side, _same([key], "_r0"), "left").drop("_k0", "_r0")
     return out.drop(_SPREAD)

@@ -27,9 +27,8 @@ def _say(*parts) -> Column:
 
 def month_rule(field: str) -> Rule:
     def problem(c: Column) -> Column:
-        number = F.trim(c).try_cast("int")
         return F.when(c.isNull(), F.lit("month is missing")).when(
-            ~F.coalesce(number.between(1, 12), F.lit(False)), _say("not a month: ", c)
+            ~F.trim(c).rlike(r"^\+?0*([1-9]|1[0-2])$"), _say("not a month: ", c)
         )
 
     return Rule(field, "month", problem)
@@ -110,22 +109,25 @@ def check_rows(
         a, b = (F.col(c).cast("string") for c in before)
         late = F.when(parse_ts(a) >= parse_ts(b), _say(before[0], " must be before ", before[1]))
         checks.append((",".join(before), F.concat_ws(",", a, b), "date_order", late))
-    found = F.array(
+    # messages are computed once, in generated code; a filter before the explode would be
+    # pushed below this projection and compute all of them a second time
+    messages = df.select(
+        F.col(file).alias("file"), F.col(row).alias("row"),
+        *[value.alias(f"_v{i}") for i, (_, value, _, _) in enumerate(checks)],
+        *[message.alias(f"_m{i}") for i, (_, _, _, message) in enumerate(checks)],
+    )
+    entries = F.array(
         *[
-            F.when(
-                message.isNotNull(),
-                F.struct(
-                    F.lit(field).alias("field"), value.alias("value"),
-                    F.lit(name).alias("rule"), message.alias("message"),
-                ),
+            F.struct(
+                F.lit(field).alias("field"), F.col(f"_v{i}").alias("value"),
+                F.lit(name).alias("rule"), F.col(f"_m{i}").alias("message"),
             )
-            for field, value, name, message in checks
+            for i, (field, _, name, _) in enumerate(checks)
         ]
     )
     return (
-        df.select(F.col(file).alias("file"), F.col(row).alias("row"), found.alias("_f"))
-        .select("file", "row", F.explode(F.filter("_f", lambda x: x.isNotNull())).alias("v"))
-        .select("file", "row", "v.*")
+        messages.select("file", "row", F.explode(entries).alias("v"))
+        .select("file", "row", "v.*").where(F.col("message").isNotNull())
     )
 
 

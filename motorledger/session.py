@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle: int = 8)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

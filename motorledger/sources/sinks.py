@@ -154,7 +154,11 @@ def upsert_table(batch: DataFrame, path: str, key: str, order: Order = (), bucke
         "replace": lambda t: replace_rows(t, batch, key, order),
         "latest": lambda t: merge_latest(t, batch, key, ts),
     }
-    _rewrite(spark, path, batch.select(bucket_of(key, buckets).alias(BUCKET)), changes[how], key, buckets)
+    batch = batch.persist()  # read once for the touched buckets and once for the merge
+    try:
+        _rewrite(spark, path, batch.select(bucket_of(key, buckets).alias(BUCKET)), changes[how], key, buckets)
+    finally:
+        batch.unpersist()
 
 
 def delete_rows(spark: SparkSession, path: str, ids: DataFrame, column: str, key: str, buckets: int = 8) -> None:

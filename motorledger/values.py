@@ -99,12 +99,4 @@ CATEGORY_RULE_DATE = "2026-01-01"
 EXCEL_EPOCH = "1899-12-30"
 RULE_EPOCH = "1900-01-01"
 EVENING_HOUR = 20
-DATE_FORMATS = [
-    "yyyy/M/d H:m:s",
-    "yyyy/M/d H:m",
-    "yyyy/M/d",
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d",
-    "yyyyMMdd",
-    "yyyy年M月d日",
-]
+DATE_MARKS = "/年月日"
