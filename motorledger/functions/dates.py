@@ -19,21 +19,25 @@ def when_at(text: str) -> Column:
 
 
 def _to_iso(text: Column) -> Column:
-    """Slashes and the Chinese unit words become dashes, eight digits get theirs."""
-    plain = F.translate(text, V.DATE_MARKS, "---")
-    digits = F.concat_ws("-", F.left(plain, F.lit(4)), F.substring(plain, 5, 2), F.right(plain, F.lit(2)))
-    return F.when((F.length(plain) == 8) & ~plain.contains("-"), digits).otherwise(plain)
+    """Slashes or the Chinese unit words become dashes."""
+    words = F.replace(text, F.lit("年"), F.lit("-"))
+    words = F.replace(F.replace(words, F.lit("月"), F.lit("-")), F.lit("日"), F.lit(""))
+    return F.when(text.contains("年"), words).otherwise(F.replace(text, F.lit("/"), F.lit("-")))
 
 
 def parse_ts(c: ColumnLike) -> Column:
     """Text in any usual form to a timestamp, else null.
 
     The forms are brought to the ISO one first, so a single cast decides. Trying one
-    format after the other would cost an exception inside the task for every miss.
+    format after the other would cost an exception inside the task for every miss. The
+    shape is checked on the text as it is: the cast also takes years of five and more
+    digits, which here are months or days.
     """
-    iso = _to_iso(F.trim(as_col(c).cast("string")))
-    # the cast also takes years of five and more digits, which here are months or days
-    return F.when(iso.rlike(r"^\d{4}(-|$)"), iso.try_cast(NTZ))
+    text = F.trim(as_col(c).cast("string"))
+    digits = F.concat_ws("-", F.left(text, F.lit(4)), F.substring(text, 5, 2), F.right(text, F.lit(2)))
+    return F.when(text.rlike(r"^\d{4}([-/年]|$)"), _to_iso(text).try_cast(NTZ)).when(
+        text.rlike(r"^\d{8}$"), digits.try_cast(NTZ)
+    )
 
 
 def parse_cn_date(c: ColumnLike) -> Column:

@@ -141,6 +141,15 @@ def numbers(df: DataFrame, cols: Iterable[str], mode: str = "coerce", default: f
     return df.withColumns(out) if out else df
 
 
+def times(df: DataFrame, *cols: str) -> DataFrame:
+    """Make the columns that exist timestamps. Columns that already hold times are only cast."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return df.withColumns(
+        {c: F.col(c).cast(NTZ) if isinstance(kinds[c], temporal) else parse_ts(c) for c in cols if c in kinds}
+    )
+
+
 def alias(df: DataFrame, names: Mapping[str, str], cols: Iterable[str] | None = None) -> DataFrame:
     """Exact-value renaming in the given columns, or in every text column."""
     if cols is None:

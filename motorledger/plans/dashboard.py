@@ -10,28 +10,24 @@ from pyspark.sql import functions as F
 
 from motorledger import values as V
 from motorledger.functions.classes import map_status, stock_age_class
-from motorledger.functions.dates import NTZ, days_between, parse_cn_date, parse_ts, same_month, when_at
+from motorledger.functions.dates import NTZ, days_between, parse_cn_date, same_month, when_at
 from motorledger.functions.nulls import not_in, zero
 from motorledger.functions.numbers import loan_term
 from motorledger.functions.text import bank_name, normalize_text
-from motorledger.operators.columns import fill_from, rename_existing
+from motorledger.operators.columns import fill_from, rename_existing, times
 from motorledger.operators.joins import flag_in, latest_lookup, left_lookup, qualify_store, stack_keys
 from motorledger.operators.keep import first_per_key, tenure
 from motorledger.operators.rows import exclude_today
 from motorledger.operators.unions import relabel_positions, union_at_cutover, union_outer
 
 
-def _timed(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: parse_ts(c) for c in cols})
-
-
 def _or_empty(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
 def sales(current: DataFrame, archive: DataFrame, store_dim: DataFrame, cutover: str = V.CUTOVER) -> DataFrame:
     """All sales; transfers count as other business that left the house."""
-    now = _timed(current, "sale_date").withColumn("term_label", loan_term("term"))
+    now = times(current, "sale_date").withColumn("term_label", loan_term("term"))
     old = archive.withColumn("sale_date", parse_cn_date(F.col("sale_date").cast("string")))
     both = union_outer(now, old.where(F.col("sale_date") < when_at(cutover)))
     moved = F.col("team") == V.TEAM_TRANSFER
@@ -53,9 +49,9 @@ def sales(current: DataFrame, archive: DataFrame, store_dim: DataFrame, cutover:
 
 def delivered(current: DataFrame, archive: DataFrame, stock: DataFrame, cutover: str = V.CUTOVER) -> DataFrame:
     """Delivered vehicles with a flag for orders of the same month."""
-    now = _timed(current, "order_date", "sale_date").where(not_in("team", V.DASHBOARD_TEAMS_DROPPED))
+    now = times(current, "order_date", "sale_date").where(not_in("team", V.DASHBOARD_TEAMS_DROPPED))
     now = now.withColumn("sold_in_month", same_month("order_date", "sale_date", 1, 0))
-    old = _timed(archive, "order_date", "sale_date").where(F.col("sale_date") < when_at(cutover))
+    old = times(archive, "order_date", "sale_date").where(F.col("sale_date") < when_at(cutover))
     both = union_outer(now, old)
     arrivals = stock.select("vin", F.col("arrival_date").alias("_arrived"))
     both = latest_lookup(both, arrivals, ["vin"], ["_arrived"], ["_arrived"])
@@ -66,14 +62,14 @@ def delivered(current: DataFrame, archive: DataFrame, stock: DataFrame, cutover:
 def booked(current: DataFrame, archive: DataFrame, cutover: str = V.CUTOVER) -> DataFrame:
     """Approved orders; the cut-over moment itself belongs to the current side."""
     now = current.where(F.col("approval") == V.APPROVED)
-    both = union_at_cutover(_timed(now, "order_date"), _timed(archive, "order_date"), "order_date", cutover)
+    both = union_at_cutover(times(now, "order_date"), times(archive, "order_date"), "order_date", cutover)
     return fill_from(both, "trim", "model")
 
 
 def cancelled(current: DataFrame, archive: DataFrame, cutover: str = V.CUTOVER) -> DataFrame:
     now = current.where(not_in("void_type", V.VOID_IGNORED))
-    old = _timed(archive, "cancel_date").where(F.col("cancel_date") < when_at(cutover))
-    return union_outer(_timed(now, "order_date", "cancel_date"), _timed(old, "order_date"))
+    old = times(archive, "cancel_date").where(F.col("cancel_date") < when_at(cutover))
+    return union_outer(times(now, "order_date", "cancel_date"), times(old, "order_date"))
 
 
 def all_orders(booked_orders: DataFrame, cancelled_orders: DataFrame) -> DataFrame:
@@ -87,7 +83,7 @@ def stock(current: DataFrame, plan_dates: DataFrame) -> DataFrame:
     out = current.withColumn("age_class", stock_age_class("stock_days", "vehicle_status"))
     plans = stack_keys(plan_dates, ["purchase_no", "service_no", "change_no"], "plan_date", "purchase_no")
     out = left_lookup(out, plans, ["purchase_no"])
-    out = out.withColumns({"arrival_date": parse_ts("arrival_date"), "_plan": F.coalesce(parse_ts("plan_date"), parse_ts("shipped_date"))})
+    out = times(out, "arrival_date", "plan_date", "shipped_date").withColumn("_plan", F.coalesce("plan_date", "shipped_date"))
     return out.withColumn("lead_days", days_between("arrival_date", "_plan", inclusive=True)).drop("_plan")
 
 
@@ -96,20 +92,20 @@ def accessories(
     district: str, cutover: str = V.CUTOVER,
 ) -> DataFrame:
     """Accessory sales; one district stays in the archive after the cut-over."""
-    now = _timed(rename_existing(current, {"first_receipt": "sold_date"}), "sold_date")
+    now = times(rename_existing(current, {"first_receipt": "sold_date"}), "sold_date")
     districts = store_dim.groupBy("store").agg(F.min("district").alias("district"))
-    old = left_lookup(_timed(archive, "sold_date"), districts, ["store"])
+    old = left_lookup(times(archive, "sold_date"), districts, ["store"])
     both = union_at_cutover(now, old, "sold_date", cutover, F.col("district") == district)
     return qualify_store(both, series_dim, "store", "series", "network")
 
 
 def bills(current: DataFrame, archive: DataFrame, cutover: str = V.CUTOVER) -> DataFrame:
     """Open bills, bills redeemed since the cut-over, and redeemed archive bills."""
-    now = _timed(current, "issue_date").withColumns(
+    now = times(current, "issue_date").withColumns(
         {"newest_due": F.col("due_date"), "redeemed": F.col("redeemed").try_cast("int")}
     )
     kept = (F.col("redeemed") == 0) | ((F.col("redeemed") == 1) & (F.col("issue_date") >= when_at(cutover)))
-    old = _timed(archive, "issue_date").withColumn("redeemed", F.col("redeemed").try_cast("int"))
+    old = times(archive, "issue_date").withColumn("redeemed", F.col("redeemed").try_cast("int"))
     both = union_outer(now.where(kept), old.where(F.col("redeemed") == 1))
     return both.withColumn("bank", bank_name("bank"))
 

@@ -99,4 +99,3 @@ CATEGORY_RULE_DATE = "2026-01-01"
 EXCEL_EPOCH = "1899-12-30"
 RULE_EPOCH = "1900-01-01"
 EVENING_HOUR = 20
-DATE_MARKS = "/年月日"
