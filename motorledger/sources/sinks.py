@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def _has_data(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return any(not s.getPath().getName().startswith(("_", ".")) and s.getLen() > 0 for s in fs.listStatus(at))
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, at = _fs(spark, path)
     if not fs.exists(at):
@@ -50,7 +56,10 @@ def write_replace(df: DataFrame, path: str, fmt: str = "parquet", allow_empty: b
     target = f"{path}/v={version}"
     counted = dedupe_columns(df).observe(seen, F.count(F.lit(1)).alias("n"))
     counted.write.format(fmt).options(**options).mode("overwrite").save(target)
-    rows = seen.get["n"]
+    try:
+        rows = seen.get["n"]
+    except Py4JJavaError:  # a plan proven empty at run time reports no metrics
+        rows = spark.read.format(fmt).options(**options).load(target).count() if _has_data(spark, target) else 0
     if rows == 0 and not allow_empty:
         fs, at = _fs(spark, target)
         fs.delete(at, True)
@@ -124,21 +133,18 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
 
+def _numbers(touched: DataFrame) -> list[int]:
+    """Bucket numbers, at most as many as the table has buckets."""
+    return [r[0] for r in touched.select(BUCKET).distinct().collect()]
+
+
 def _rewrite(
-    spark: SparkSession, path: str, touched: DataFrame, change: Callable[[DataFrame], DataFrame], key: str, buckets: int
+    spark: SparkSession, path: str, numbers: list[int], change: Callable[[DataFrame], DataFrame], key: str, buckets: int
 ) -> None:
-    """Apply ``change`` to the touched buckets. Their numbers are at most ``buckets`` ints."""
-    numbers = [r[0] for r in touched.select(BUCKET).distinct().collect()]
-    if not numbers:
-        return
-    table = spark.read.parquet(path).where(F.col(BUCKET).isin(*numbers)).drop(BUCKET)
-    left = Observation()
-    changed = change(table).withColumn(BUCKET, bucket_of(key, buckets))
-    counted = changed.observe(left, F.collect_set(BUCKET).alias("present"))
-    _write_buckets(counted, path)
-    for number in set(numbers) - set(left.get["present"] or []):
-        fs, at = _fs(spark, f"{path}/{BUCKET}={number}")
-        fs.delete(at, True)
+    """Apply ``change`` to these buckets and put them in place of the old ones."""
+    if numbers:
+        table = spark.read.parquet(path).where(F.col(BUCKET).isin(*numbers)).drop(BUCKET)
+        _write_buckets(change(table).withColumn(BUCKET, bucket_of(key, buckets)), path)
 
 
 def upsert_table(batch: DataFrame, path: str, key: str, order: Order = (), buckets: int = 8, how: str = "upsert", ts: str | None = None) -> None:
@@ -156,7 +162,7 @@ def upsert_table(batch: DataFrame, path: str, key: str, order: Order = (), bucke
     }
     batch = batch.persist()  # read once for the touched buckets and once for the merge
     try:
-        _rewrite(spark, path, batch.select(bucket_of(key, buckets).alias(BUCKET)), changes[how], key, buckets)
+        _rewrite(spark, path, _numbers(batch.select(bucket_of(key, buckets).alias(BUCKET))), changes[how], key, buckets)
     finally:
         batch.unpersist()
 
@@ -172,7 +178,17 @@ def delete_rows(spark: SparkSession, path: str, ids: DataFrame, column: str, key
     def change(table: DataFrame) -> DataFrame:
         return anti(table.withColumn("_id", F.col(column).cast("string")), ids, "_id").drop("_id")
 
-    _rewrite(spark, path, touched, change, key, buckets)
+    numbers = _numbers(touched)
+    if not numbers:
+        return
+    # a bucket that loses all its rows is not written, so it has to be removed
+    remaining = change(spark.read.parquet(path).where(F.col(BUCKET).isin(*numbers)))
+    present = _numbers(remaining)
+    if present:
+        _rewrite(spark, path, numbers, change, key, buckets)
+    for number in set(numbers) - set(present):
+        fs, at = _fs(spark, f"{path}/{BUCKET}={number}")
+        fs.delete(at, True)
 
 
 @dataclass(frozen=True)
