@@ -7,6 +7,7 @@ from motorledger.plans import (
     dashboard,
     film,
     finance,
+    jobs,
     orders,
     products,
     sales,
@@ -15,6 +16,6 @@ from motorledger.plans import (
 )
 
 __all__ = [
-    "accessories", "app", "costs", "dashboard", "film", "finance",
+    "accessories", "app", "costs", "dashboard", "film", "finance", "jobs",
     "orders", "products", "sales", "scores", "stock",
 ]
