@@ -67,7 +67,9 @@ def month_start(c: ColumnLike) -> Column:
     six = r"^(\d{4})(\d{2})$"
     named = [_first_day(_found(text, p, 1), _found(text, p, 2)) for p in (cn, six)]
     parsed = F.trunc(parse_ts(text).cast("date"), "month")
-    return F.coalesce(named[0], parsed, named[1])
+    return F.when(text.contains("年"), F.coalesce(named[0], parsed)).otherwise(
+        F.coalesce(parsed, F.when(F.length(text) == 6, named[1]))
+    )
 
 
 def month_end_from(year: ColumnLike, month: ColumnLike) -> Column:

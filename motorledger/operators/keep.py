@@ -98,8 +98,8 @@ def allocate_once(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[
     )
     by = [*order, *[c for c in names if c not in order], "_task"]
     rank = F.struct(*[x for c in by for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(c))])
-    # null is a group of its own here, so the keys are compared as one never-null value
-    ranked = copies.withColumn("_rank", rank).withColumn("_group", F.to_json(F.struct(*keys)))
+    # null is a group of its own here: as one record the keys are never null and compare equal
+    ranked = copies.withColumn("_rank", rank).withColumn("_group", F.struct(*keys))
     judged = attach_group(ranked, ["_group"], {"_first": F.min("_rank")})
     place = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
     spelled = judged.select(*names, (F.col("_rank") == F.col("_first")).alias("_is_first"), place.alias("_place"))

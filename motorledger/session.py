@@ -15,7 +15,6 @@ RUNTIME = {
     # split a skewed join side even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
