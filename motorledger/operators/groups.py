@@ -75,9 +75,8 @@ def group_items(
         keyed(df, keys).withColumn("_item", item).groupBy(*keys, "_item")
         .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(n) for n, c in sums.items()])
     )
-    repeated = lambda x: F.expr("null") if x is None else F.concat(
-        F.repeat(F.concat(x["_item"], F.lit(sep)), x["_n"].cast("int") - 1), x["_item"]
-    )
+    again = lambda x: F.repeat(F.concat(x["_item"], F.lit(sep)), x["_n"].cast("int") - 1)
+    repeated = lambda x: F.concat(again(x), x["_item"])
     listed = F.sort_array(F.collect_list(F.when(F.col("_item").isNotNull(), F.struct("_item", "_n"))))
     return parts.groupBy(*keys).agg(
         *[total(n).alias(n) for n in sums],

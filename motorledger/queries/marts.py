@@ -313,14 +313,15 @@ def _(t: Tables):
     f"""WITH {FINAL}, shown AS (SELECT vin, CASE WHEN contains(store, '直播基地') THEN '直播基地' ELSE store END AS store, coalesce(team, '') AS team, series, sale_date FROM final)
         SELECT 'sales' AS kind, vin, store, team, strftime(sale_date, '%Y/%m/%d') AS sale_date FROM (SELECT *, row_number() OVER (PARTITION BY vin, series ORDER BY sale_date DESC) AS rn
           FROM shown WHERE vin <> '二手车返利') WHERE rn = 1
-        UNION ALL SELECT 'transfers', vin, store, team, strftime(sale_date, '%Y/%m/%d') FROM shown WHERE sale_date >= '1998-01-01' AND team IN ('调拨', '其他') AND vin <> '二手车返利'""",
+        UNION SELECT 'sales', vin, store, team, strftime(sale_date, '%Y/%m/%d') FROM shown WHERE vin = '二手车返利'
+        UNION SELECT 'transfers', vin, store, team, strftime(sale_date, '%Y/%m/%d') FROM shown WHERE sale_date >= '1998-01-01' AND team IN ('调拨', '其他')""",
 )
 def _(t: Tables):
     paid = accessories.paid(decoration_lines(t))
     sold, _, moved = sales.export_tables(written(final_of(t), "final"), paid, ["team", "store"], ["unit_profit"], CUT)
     cols = ["vin", "store", "team", "sale_date"]
-    a = sold.where(F.col("vin") != "二手车返利").select(F.lit("sales").alias("kind"), *cols)
-    return a.unionByName(moved.where(F.col("vin") != "二手车返利").select(F.lit("transfers").alias("kind"), *cols))
+    parts = [df.select(F.lit(kind).alias("kind"), *cols) for kind, df in (("sales", sold), ("transfers", moved))]
+    return parts[0].unionByName(parts[1]).distinct()
 
 
 # -- dashboards: the same table plays archive and current, cut at one day ----------------

@@ -4,16 +4,24 @@ from pyspark.sql import functions as F
 
 from motorledger.operators import deletes, quality
 from motorledger.queries.registry import Tables, query
+from motorledger.session import shared_folder
+from motorledger.sources.ledgers import ledger_headers
 
 
 @query(
     "q1_header_check",
-    """SELECT 'orders' AS file, 'missing' AS problem, 'o_clerk' AS header UNION ALL SELECT 'orders', 'extra', 'o_orderstatus'
-       UNION ALL SELECT 'orders', 'extra', 'o_totalprice' UNION ALL SELECT 'customer', 'missing', 'c_phone'""",
+    """WITH s AS (SELECT DISTINCT o_orderstatus AS file FROM orders)
+       SELECT file, 'missing' AS problem, unnest(['clerk', 'note']) AS header FROM s
+       UNION ALL SELECT file, 'extra', 'o_totalprice' FROM s""",
 )
 def _(t: Tables):
-    a = quality.check_headers(t.spark, "orders", t.orders.columns, ["o_orderkey", "o_custkey", "o_clerk", "o_orderdate", "o_orderpriority"])
-    return a.unionByName(quality.check_headers(t.spark, "customer", t.customer.columns, [*t.customer.columns, "c_phone"]))
+    folder = shared_folder(t.spark, "headers")
+    t.orders.drop("o_orderdate").write.option("header", True).partitionBy("o_orderstatus").csv(folder)
+    part = F.regexp_extract("file", "o_orderstatus=([^/]+)/", 1)
+    found = ledger_headers(t.spark, folder).select(part.alias("file"), F.split("header", ",").alias("headers")).distinct()
+    gaps = quality.header_gaps(found, "file", "headers", ["o_orderkey", "o_custkey", "clerk", "o_orderpriority", "note"])
+    sides = [gaps.select("file", F.lit(side).alias("problem"), F.explode(side).alias("header")) for side in ("missing", "extra")]
+    return sides[0].unionByName(sides[1])
 
 
 # film ledger lines with every kind of mistake

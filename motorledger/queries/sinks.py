@@ -96,12 +96,12 @@ def _(t: Tables):
     return sinks.read_current(t.spark, path)
 
 
-@query("k6_truncate_tables", "SELECT 'nation' AS name, 'ok' AS result, 0 AS rows UNION ALL SELECT 'region', 'ok', 0 UNION ALL SELECT 'absent', 'failed', NULL")
+@query("k6_truncate_tables", "SELECT 'orders' AS name, 'ok' AS result, 0 AS rows UNION ALL SELECT 'customer', 'ok', 0 UNION ALL SELECT 'absent', 'failed', NULL")
 def _(t: Tables):
     base = shared_folder(t.spark, "truncate")
-    sinks.write_replace(t.nation, f"{base}/nation")
-    sinks.write_replace(t.region, f"{base}/region")
-    names = ["nation", "region", "absent"]
+    sinks.write_replace(t.orders, f"{base}/orders")
+    sinks.write_replace(t.customer, f"{base}/customer")
+    names = ["orders", "customer", "absent"]
     report = sinks.truncate_tables(t.spark, [f"{base}/{n}" for n in names])
     left = sinks.counts_report({n: sinks.read_current(t.spark, f"{base}/{n}") for n in names[:2]})
     report = report.select(F.regexp_extract("table_name", r"([^/]+)$", 1).alias("name"), "result")
