@@ -62,24 +62,26 @@ def group_agg(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Column]) ->
 
 def group_items(
     df: DataFrame, keys: Sequence[str], item: Column, name: str,
-    sums: Mapping[str, Column] | None = None, sep: str = ",",
+    sums: Mapping[str, Column] | None = None, sep: str = ",", mins: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Sums per key plus all item texts joined, duplicates kept, in item order.
+    """Sums and minima per key plus all item texts joined, duplicates kept, in item order.
 
     Rows are first combined per (key, item) with a count, so the second step sees each
     distinct item once, however many rows a key has. The text itself names every row:
     that is the result asked for, and it is the only thing as long as the group.
     """
-    sums = dict(sums or {})
+    sums, mins = dict(sums or {}), dict(mins or {})
     parts = (
         keyed(df, keys).withColumn("_item", item).groupBy(*keys, "_item")
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(n) for n, c in sums.items()])
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(n) for n, c in sums.items()],
+             *[F.min(c).alias(n) for n, c in mins.items()])
     )
     again = lambda x: F.repeat(F.concat(x["_item"], F.lit(sep)), x["_n"].cast("int") - 1)
     repeated = lambda x: F.concat(again(x), x["_item"])
     listed = F.sort_array(F.collect_list(F.when(F.col("_item").isNotNull(), F.struct("_item", "_n"))))
     return parts.groupBy(*keys).agg(
         *[total(n).alias(n) for n in sums],
+        *[F.min(n).alias(n) for n in mins],
         F.array_join(F.transform(listed, repeated), sep).alias(name),
     )
 
