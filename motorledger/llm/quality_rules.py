@@ -26,7 +26,7 @@ COMMON_WORDS = 12
 #: A language with a smaller share of all words has no reference of its own, which bounds their number.
 REFERENCE_SHARE = 0.001
 _BLANKS = " \t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
+_SYMBOLS = "#*$%&|<>"  # the order has no meaning inside a character class
 _CLASSES = ["lower", "upper", "digit", "blank", "mark", "symbol"]
 _POOL = "\0all"
 
@@ -39,57 +39,61 @@ def _next(values: str) -> Column:
     return F.expr(f"slice({values}, 2, greatest(size({values}) - 1, 0))")
 
 
-def _class_counts(text: Column) -> dict[str, Column]:
-    """Characters by class. Every letter that is not its own lower case is an upper-case one."""
-    return {
-        "upper": F.length(F.regexp_replace(text, r"[^\p{Lu}]+", "")),
-        "digit": F.length(F.regexp_replace(text, r"[^0-9]+", "")),
-        "mark": F.length(F.regexp_replace(text, r"[^.,;:!?'\"()\-]+", "")),
-    }
+def _kept_only(text: Column, kept: str) -> Column:
+    """The number of characters of ``text`` in the class ``kept``."""
+    return F.length(F.regexp_replace(text, f"[^{kept}]+", ""))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts the rules use, all from whole texts; a null text counts as empty.
+def _class_counts(text: Column) -> list[Column]:
+    """Characters by class but for the first, ``lower``, which is what remains."""
+    found = {
+        "upper": _kept_only(text, r"\p{Lu}"), "digit": _kept_only(text, "0-9"), "blank": _kept_only(text, _BLANKS),
+        "mark": _kept_only(text, r".,;:!?'\"()\-"), "symbol": _kept_only(text, _SYMBOLS),
+    }
+    return [found[c].cast("long").alias(c) for c in _CLASSES[1:]]
 
-    Adds a column ``q`` with word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words, the
-    lower-cased ``words`` and the character classes.
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.regexp_replace(text, "[\t-\r]", " "), " "), "")
+
+
+def measured(docs: DataFrame, common: list[str] | None = None) -> DataFrame:
+    """``docs`` with a column ``q`` of the counts the rules use, all from whole texts; null counts as empty.
+
+    Holds word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words, the character classes and
+    ``words``, the lower-cased words that are in ``common``. Windows of three words are compared by
+    64-bit hashes within their text.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    flat = F.translate(text, _BLANKS[1:], " " * 5)
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t\x0B\f\r]"))
-    rows = docs.select(F.struct("*").alias("doc"), text.alias("t"), flat.alias("flat"), lines.alias("lines"))
-    rows = rows.select("doc", "t", "flat", "lines", F.array_remove(F.split("flat", " "), "").alias("w"))
-    pairs = F.zip_with("w", _next("w"), lambda a, b: F.concat(a, F.lit(" "), b))
-    rows = rows.withColumn("pairs", pairs)
-    three = F.zip_with("pairs", F.expr("slice(w, 3, greatest(size(w) - 2, 0))"), lambda a, b: F.concat(a, F.lit(" "), b))
-    rows = rows.withColumn("three", F.slice(three, F.lit(1), F.greatest(F.size("w") - 2, F.lit(0))))
+    listed = F.filter(_words(F.lower(text)), lambda word: word.isin(common)) if common else F.array().cast("array<string>")
+    rows = docs.select(
+        F.struct("*").alias("doc"), _words(text).alias("w"), lines.alias("lines"), F.length(text).cast("long").alias("chars"),
+        listed.alias("words"), *_class_counts(text),
+    )
+    others = ["doc", "lines", "chars", "words", *_CLASSES[1:]]
+    part = lambda first: F.expr(f"slice(w, {first}, greatest(size(w) - 2, 0))")
+    two = F.zip_with(part(1), part(2), lambda a, b: F.xxhash64(a, b))
+    rows = rows.select(*others, F.size("w").cast("long").alias("n_words"), F.zip_with(two, part(3), lambda a, b: F.xxhash64(a, b)).alias("three"))
+    others.append("n_words")
     # only texts in which some window comes twice need the positions
-    rows = rows.withColumn("again", F.size(F.array_distinct("three")) < F.size("three"))
-    placed = F.when(F.col("again"), F.sort_array(F.transform("three", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))
-    rows = rows.withColumn("s", placed)
+    again = F.size(F.array_distinct("three")) < F.size("three")
+    rows = rows.select(*others, F.when(again, F.sort_array(F.transform("three", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))).alias("s"))
     same = F.zip_with("s", _next("s"), lambda a, b: F.coalesce(a["x"] == b["x"], F.lit(False)))
-    rows = rows.withColumn("same", same)
+    rows = rows.select(*others, "s", same.alias("same"))
     before = F.expr("concat(array(false), slice(same, 1, size(same) - 1))")
     either = F.zip_with("same", before, lambda a, b: a | b)
     spots = F.sort_array(F.array_compact(F.zip_with("s", either, lambda a, b: F.when(b, a["i"]))))
-    rows = rows.withColumn("spots", spots)
+    rows = rows.select(*others, spots.alias("spots"))
     covered = F.zip_with("spots", _next("spots"), lambda a, b: F.when(b.isNull(), 3).otherwise(F.least(F.lit(3), b - a)))
-    repeats = F.coalesce(F.aggregate(covered, F.lit(0), lambda x, y: x + y), F.lit(0))
-    classes = _class_counts(F.col("t"))
-    blank = F.length("t") - F.length(F.translate("t", _BLANKS, ""))
-    symbol = F.length("t") - F.length(F.translate("t", _SYMBOLS, ""))
-    rows = rows.select(
-        "doc", "lines", F.length("t").alias("chars"), blank.alias("blank"), symbol.alias("symbol"),
-        *[c.alias(n) for n, c in classes.items()], F.size("w").cast("long").alias("n_words"), repeats.alias("repeats"),
-        F.array_remove(F.split(F.lower("flat"), " "), "").alias("words"),
-    )
-    lower = F.col("chars") - _sum([F.col(c) for c in _CLASSES if c != "lower"])
+    repeats = F.coalesce(F.aggregate(covered, F.lit(0), lambda x, y: x + y), F.lit(0)).cast("long")
+    lower = F.col("chars") - _sum([F.col(c) for c in _CLASSES[1:]])
     return rows.select(
         "doc.*",
         F.struct(
-            "n_words", (F.col("chars") - F.col("blank")).cast("long").alias("word_chars"), F.col("symbol").cast("long").alias("n_symbols"),
-            (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.col("repeats").cast("long").alias("n_repeat_words"),
-            "words", lower.cast("double").alias("lower"), *[F.col(c).cast("double").alias(c) for c in _CLASSES if c != "lower"],
+            "n_words", (F.col("chars") - F.col("blank")).alias("word_chars"), F.col("symbol").alias("n_symbols"),
+            (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), repeats.alias("n_repeat_words"),
+            "words", lower.cast("double").alias("lower"), *[F.col(c).cast("double").alias(c) for c in _CLASSES[1:]],
         ).alias("q"),
     )
 
@@ -100,24 +104,18 @@ def references(docs: DataFrame, words: int = COMMON_WORDS, share: float = REFERE
     Counted over all of ``docs``. Languages with less than ``share`` of all words get no row, so
     there are at most ``1 / share + 1`` rows.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.select(F.col("lang").cast("string").alias("lang"), text.alias("t"))
-    blank = F.length("t") - F.length(F.translate("t", _BLANKS, ""))
-    symbol = F.length("t") - F.length(F.translate("t", _SYMBOLS, ""))
-    counted = base.select("lang", F.length("t").alias("chars"), blank.alias("blank"), symbol.alias("symbol"), *[c.alias(n) for n, c in _class_counts(F.col("t")).items()])
-    by_lang = counted.groupBy("lang").agg(F.sum("chars").alias("chars"), *[F.sum(c).alias(c) for c in _CLASSES if c != "lower"])
-    # "rollup" by hand on the few rows per language: the pool is their sum
-    by_lang = stored(by_lang, "class-counts")
-    pool = by_lang.agg(F.lit(_POOL).alias("lang"), F.sum("chars").alias("chars"), *[F.sum(c).alias(c) for c in _CLASSES if c != "lower"])
-    classes = by_lang.filter("lang IS NOT NULL").unionByName(pool)
-    lower = F.col("chars") - _sum([F.col(c) for c in _CLASSES if c != "lower"])
-    classes = classes.select("lang", *[(c_ / F.greatest(F.col("chars"), F.lit(1))).alias(f"ref_{n}") for n, c_ in [("lower", lower), *[(c, F.col(c)) for c in _CLASSES if c != "lower"]]])
-
-    flat = F.translate(F.lower("t"), _BLANKS[1:], " " * 5)
-    tokens = base.select("lang", F.explode(F.array_remove(F.split(flat, " "), "")).alias("word"))
+    base = docs.select(F.col("lang").cast("string").alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    counted = base.select("lang", F.length("t").cast("long").alias("chars"), *_class_counts(F.col("t")))
+    sums = [F.sum(c).alias(c) for c in ["chars", *_CLASSES[1:]]]
+    by_lang = stored(counted.groupBy("lang").agg(*sums), "class-counts")
+    classes = by_lang.filter("lang IS NOT NULL").unionByName(by_lang.agg(*sums).withColumn("lang", F.lit(_POOL)))
+    classes = classes.withColumn("lower", F.col("chars") - _sum([F.col(c) for c in _CLASSES[1:]]))
+    classes = classes.select("lang", *[(F.col(c) / F.greatest(F.col("chars"), F.lit(1))).alias(f"ref_{c}") for c in _CLASSES])
+
+    tokens = base.select("lang", F.explode(_words(F.lower("t"))).alias("word"))
     counts = stored(tokens.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = totals.agg(F.sum("total").alias("total")).select(F.lit(_POOL).alias("lang"), "total")
+    everything = counts.agg(F.sum("n")).first()[0] or 0
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(_POOL).alias("lang"), "word", "n")
     best = pooled.orderBy(F.desc("n"), "word").limit(words).unionByName(
         counts.filter("lang IS NOT NULL").withColumn(
@@ -125,10 +123,8 @@ def references(docs: DataFrame, words: int = COMMON_WORDS, share: float = REFERE
         ).filter(F.col("at") <= words).drop("at")
     )
     listed = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "word")), asc=False).alias("common"))
-    kept = totals.filter("lang IS NOT NULL").unionByName(everything)
-    whole = counts.agg(F.sum("n")).first()[0] or 0
-    kept = kept.filter(F.col("total") >= share * whole)
-    return stored(classes.join(kept, "lang").join(listed, "lang"), "references")
+    kept = totals.filter("lang IS NOT NULL").unionByName(totals.agg(F.lit(_POOL).alias("lang"), F.sum("total").alias("total")))
+    return stored(classes.join(kept.filter(F.col("total") >= share * everything), "lang").join(listed, "lang"), "references")
 
 
 def _distance(own: Column, ref: Column) -> Column:
@@ -155,8 +151,9 @@ def judged(
     """
     reference = reference if reference is not None else references(docs, words)
     few = reference.withColumnRenamed("lang", "ref_lang")
-    rows = measured(docs)
-    listed = [r[0] for r in few.select("ref_lang").collect()]  # at most 1 / REFERENCE_SHARE + 1 names
+    known_rows = few.select("ref_lang", "common.word").collect()  # at most 1 / REFERENCE_SHARE + 1 rows
+    listed = [r["ref_lang"] for r in known_rows]
+    rows = measured(docs, sorted({w for r in known_rows for w in r["word"]}))
     known = F.coalesce(F.col("lang").cast("string"), F.lit(_POOL))
     wanted = F.when(known.isin(listed), known).otherwise(F.lit(_POOL)) if listed else F.lit(_POOL)
     rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "q", wanted.alias("wanted"), F.col("q.words").alias("words"), F.col("q.n_words").alias("n"))
