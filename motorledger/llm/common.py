@@ -47,17 +47,23 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Cut batches so that a slice ends once it holds ``most`` bytes of text."""
+    """Cut and join batches so that a slice ends with the row that brings it to ``most`` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    kept: list[bytes | None] = []
+    size = 0
     for batch in batches:
         texts = texts_of(batch, column)
-        first = size = 0
+        first = 0
         for at, text in enumerate(texts):
             size += len(text) if text else 0
             if size >= most:
-                yield batch.slice(first, at + 1 - first), texts[first : at + 1]
-                first, size = at + 1, 0
+                yield pa.concat_batches([*held, batch.slice(first, at + 1 - first)]), kept + texts[first : at + 1]
+                held, kept, size, first = [], [], 0, at + 1
         if first < len(texts):
-            yield batch.slice(first), texts[first:]
+            held.append(batch.slice(first))
+            kept += texts[first:]
+    if held:
+        yield pa.concat_batches(held), kept
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
