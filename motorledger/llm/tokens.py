@@ -1,17 +1,15 @@
 """Token ids of whole texts by the tokenizers library, remembered per chunk.
 
 Byte-level pre-tokenisation always cuts in front of a space that follows a character that is
-no white space. The chunks between such cuts can therefore be encoded one by one, and a chunk
-that was seen before costs one look-up. A new chunk of plain letters, marks and line ends is put
-together from its pre-tokens, which are remembered too; all else is encoded by the library.
-The ids are those of the library for the whole text.
+no white space, in front of a full stop or comma that follows a letter or digit, and on both
+sides of a line end between other characters. The chunks between such cuts can be encoded one
+by one, and a chunk that was seen before costs one look-up. The ids are those of the library
+for the whole text; texts in which such a cut could be wrong are cut less or not at all.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from array import array
 from itertools import repeat
 
 import numpy as np
@@ -19,14 +17,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Chunks, and pre-tokens, remembered by one worker; beyond that it starts anew.
-REMEMBERED = 600_000
-
-#: White space in front of a space: there is no cut there, so such a text is encoded as a whole.
-_UNCUT = re.compile(r"\s ")
-
-#: Pre-tokens made of plain letters, plain marks, or a line end in front of something else.
-_PART = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[.,!?;:%*#$&|<>]+|\n(?!\s)")
+#: Chunks remembered by one worker; beyond that it starts anew.
+REMEMBERED = 1_000_000
+_CUT = "\x01"
+_RUN = 50  # new chunks encoded in one go
+#: ASCII white space, and ASCII letters and digits, by byte.
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+_PLAIN = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 
 _loaded: dict[str, "ChunkEncoder"] = {}
 
@@ -44,7 +41,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts: dict[str, bytes] = {}
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self._forget()
 
     def _forget(self) -> None:
@@ -55,54 +52,85 @@ class ChunkEncoder:
         self.used = 0
 
     def _learn(self, chunks: list[str]) -> None:
-        """Give every chunk a code; a chunk stands for itself with a space in front, ``\\0`` marks one without."""
-        if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        known, split = self.parts, []
-        for chunk in chunks:
-            plain = chunk[1:] if chunk[:1] == "\0" else " " + chunk
-            pieces = _PART.findall(plain)
-            # pieces that do not give back the chunk hold characters outside the plain ones
-            split.append(pieces if sum(map(len, pieces)) == len(plain) else [plain])
-        if new := list(dict.fromkeys(p for pieces in split for p in pieces if p not in known)):
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                for piece, done in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[piece] = array("I", done.ids).tobytes()
-        found = [b"".join([known[p] for p in pieces]) for pieces in split]
-        ids = np.frombuffer(b"".join(found), np.uint32)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        """Encode new chunks and give each the next code.
+
+        Chunks without line ends are encoded in one go with line ends between them: those are
+        tokens of their own there, which mark where a chunk's ids end.
+        """
         code = len(self.codes)
+        joined = [c for c in chunks if c and "\n" not in c and (c[1:] if c[0] == " " else c).strip() == (c[1:] if c[0] == " " else c) != ""]
+        rest = set(joined)
+        chunks = joined + [c for c in chunks if c not in rest]
+        parts, sizes = [], []
+        runs = ["\n".join(joined[at : at + _RUN]) + "\n" for at in range(0, len(joined), _RUN)]
+        for done in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False):
+            ids = np.array(done.ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line_end)
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+            parts.append(ids[ids != self.line_end])
+        for chunk in chunks[len(joined) :]:
+            parts.append(np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32))
+            sizes.append(np.array([len(parts[-1])]))
+        ids, size = np.concatenate(parts), np.concatenate(sizes)
+        if len(size) != len(chunks):
+            raise ValueError("line ends between chunks were not kept apart by this tokenizer")
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while code + len(chunks) > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.first[code : code + len(chunks)] = self.used + np.cumsum(sizes) - sizes
-        self.length[code : code + len(chunks)] = sizes
+        self.first[code : code + len(chunks)] = self.used + np.cumsum(size) - size
+        self.length[code : code + len(chunks)] = size
         self.codes.update(zip(chunks, range(code, code + len(chunks))))
         self.used += len(ids)
 
+    def _marked(self, texts: list[bytes | None]) -> tuple[list[str | None], dict[int, str]]:
+        """Texts with their safe cuts marked, and apart from them those to be encoded as a whole.
+
+        A space is safe after a byte that ends no white space; a stop or comma after a letter or
+        digit; a line end in front of a byte that starts no white space. Where that is not known
+        from the bytes nearby, the cut counts as unsafe.
+        """
+        lengths = np.array([len(t) + 1 if t else 1 for t in texts], np.int64)
+        data = np.frombuffer(b"\0" * 2 + b"".join((t or b"") + b"\0" for t in texts), np.uint8)
+        now, last, before = data[2:], data[1:-1], data[:-2]
+        two = (last >= 128) & (before >= 0xC3) & (before <= 0xDF)  # ends a letter or mark of two bytes
+        space = (now == 32) & (_BLANK[last] | (last >= 128) & ~two | (last == 0))
+        letter = _PLAIN[last] | (two & (before == 0xC3) & (last != 0x97) & (last != 0xB7))
+        coarse = ((now == 44) | (now == 46)) & ~letter
+        coarse |= (last == 10) & (_BLANK[now] | (now >= 128) & (now != 0xC3))
+        whole_ones = space | (now == 1) | (now == 0) & (last == 32)
+        starts = np.cumsum(lengths) - lengths
+        uncut = np.logical_or.reduceat(whole_ones, starts) if len(texts) else []
+        rough = np.logical_or.reduceat(coarse, starts) if len(texts) else []
+        marked: list[str | None] = []
+        whole: dict[int, str] = {}
+        for at, raw in enumerate(texts):
+            text = raw.decode() if raw else None
+            if text and (uncut[at] or "\0" in text or any(s in text for s in self.special)):
+                whole[at], text = text, None
+            if text:
+                text = text.replace(" ", _CUT + " ")
+                if not rough[at]:
+                    text = text.replace(".", _CUT + ".").replace(",", _CUT + ",").replace("\n", _CUT + "\n" + _CUT)
+            marked.append(text)
+        return marked, whole
+
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of every text as uint32 arrays; a null text has none."""
         if len(self.codes) > REMEMBERED:
             self._forget()
-        plain, whole = [], {}
-        for at, data in enumerate(texts):
-            text = data.decode() if data else ""
-            if text and (text[0] == " " or text[-1] == " " or "\0" in text or any(s in text for s in self.special) or _UNCUT.search(text)):
-                whole[at] = text
-                text = ""
-            plain.append("\0" + text if text else None)
-        lists = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        marked, whole = self._marked(texts)
+        lists = pc.split_pattern(pa.array(marked, pa.large_string()), _CUT)
         stops = lists.offsets.to_numpy()
         coded = lists.values.slice(stops[0], stops[-1] - stops[0]).dictionary_encode()
         chunks = coded.dictionary.to_pylist()
         codes = np.fromiter(map(self.codes.get, chunks, repeat(-1)), np.int64, len(chunks))
         if len(missing := np.flatnonzero(codes < 0)):
-            codes[missing] = len(self.codes) + np.arange(len(missing))
-            self._learn([chunks[i] for i in missing.tolist()])
+            new = [chunks[i] for i in missing.tolist()]
+            self._learn(new)
+            codes[missing] = np.fromiter(map(self.codes.__getitem__, new), np.int64, len(new))
         first, size = self.first[codes], self.length[codes]
         order = coded.indices.to_numpy()
         sizes = size[order]
