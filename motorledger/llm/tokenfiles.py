@@ -35,8 +35,8 @@ BLOCK_IDS = 1 << 20
 LANES = 4096
 _HEADER = struct.Struct("<4sIIIIII")  # magic, ids, lanes, vocabulary, words, crc of words, crc of ids
 _MAGIC = b"IDB1"
-_PAIR_BITS, _SHARE_BITS, _FREQ_BITS = 17, 12, 20
-_RENEW = 8  # steps between renewals of the order-0 frequencies
+_PAIR_BITS, _SHARE_BITS, _FREQ_BITS = 17, 14, 18
+_RENEW = 16  # steps between renewals of the order-0 frequencies
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 46)
 _WORD = np.uint64(16)
 
@@ -51,20 +51,31 @@ class _Model:
         self.trust2 = np.zeros(1 << _PAIR_BITS, np.int8)
         self.outcomes = np.tile(np.array([0.4, 0.4, 0.4]), (64, 1))
         self.shares = np.zeros((64, 2), np.int64)
-        self.counts = np.ones(vocabulary, np.int64)
+        self.counts = np.ones(vocabulary, np.float64)
+        self.fresh: list[np.ndarray] = []  # ids not yet counted
         self.last = np.zeros(lanes, np.int64)
         self.slot = np.zeros(lanes, np.int64)
         self.steps = 0
         self._renew()
 
     def _renew(self) -> None:
+        if self.fresh:
+            self.counts += 24 * np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
+            self.fresh = []
         free = (1 << _FREQ_BITS) - len(self.counts)
-        freq = 1 + (self.counts * free) // int(self.counts.sum())
+        freq = 1 + (self.counts * (free / self.counts.sum())).astype(np.int64)
+        freq[-1] += (1 << _FREQ_BITS) - int(freq.sum())  # what rounding left
         self.until = np.concatenate([[0], np.cumsum(freq)])
-        self.until[-1] = 1 << _FREQ_BITS
+        self.owner: np.ndarray | None = None
         whole = self.outcomes.sum(1, keepdims=True)
         self.shares = 1 + ((self.outcomes[:, :2] / whole) * ((1 << _SHARE_BITS) - 3)).astype(np.int64)
 
+    def holder(self, value: np.ndarray) -> np.ndarray:
+        """The id whose order-0 interval holds ``value``."""
+        if self.owner is None:
+            self.owner = np.repeat(np.arange(len(self.counts), dtype=np.int32), np.diff(self.until))
+        return self.owner[value]
+
     def look(self):
         """What is predicted for every lane: both guesses, their class, and their shares."""
         g1, g2 = self.guess1[self.last], self.guess2[self.slot]
@@ -78,7 +89,7 @@ class _Model:
             guess[spot] = np.where(right | (had > 0), said, ids)
             trust[spot] = np.where(right, np.minimum(had + 1, 7), np.maximum(had - 2, 0))
         self.outcomes += np.bincount(kind * 3 + outcome, minlength=192).reshape(64, 3)
-        self.counts += 24 * np.bincount(ids, minlength=len(self.counts))
+        self.fresh.append(ids)
         self.slot = ((self.last * 0x9E3779B1 + ids * 0x85EBCA6B) >> 12) & ((1 << _PAIR_BITS) - 1)
         self.last = ids
         self.steps += 1
@@ -165,7 +176,7 @@ def decode_block(block: bytes) -> np.ndarray:
         value = np.minimum((code - low) // unit, np.uint64((1 << 32) - 1)).astype(np.int64)
         both = (share2 + share1) << _FREQ_BITS
         inner = np.maximum(value - both, 0) // ((1 << _SHARE_BITS) - share2 - share1)
-        plain = np.searchsorted(model.until, inner, "right") - 1
+        plain = model.holder(np.minimum(inner, (1 << _FREQ_BITS) - 1))
         now = np.where(value < share2 << _FREQ_BITS, g2, np.where(value < both, g1, plain)).astype(np.int64)
         outcome, start, size = _interval(model, now, look)
         low = low + start * unit
