@@ -182,3 +182,9 @@ def judged(
             *counts, "class_distance", "word_distance", failed.alias("base_failed"), (~failed & passed).alias("kept")
         ).alias("q"),
     )
+
+
+def accepted(docs: DataFrame, reference: DataFrame | None = None, **limits) -> DataFrame:
+    """The rows of ``docs`` that are kept. The judgement is written first: a filter on it would
+    otherwise be pushed into the expressions and evaluate them anew for every use."""
+    return stored(judged(docs, reference, **limits), "judged").filter("q.kept").drop("q")
