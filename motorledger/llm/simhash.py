@@ -104,8 +104,10 @@ def near_pairs(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     index = distinct.select("bits", F.explode(_variants(F.col("bits"), distance)).alias("v")).select(
         "bits", "v.bit", "v.rest"
     )
+    # a fingerprint has one row per bit here, which size estimates do not see: never broadcast
     return (
         index.alias("a")
+        .hint("merge")
         .join(
             index.alias("b"),
             (F.col("a.bit") == F.col("b.bit"))
