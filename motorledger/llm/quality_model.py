@@ -163,8 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, rows
     pairs = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").dropDuplicates(["doc_id"])
     found = stored(pairs.select("rank", "label", "text").mapInArrow(_feature_task, "rank long, label int, row array<int>"), "quality-features")
     collected = found.orderBy("rank").toArrow()  # bounded by `rows`
-    feature_rows = [np.array(r, np.int32) for r in collected.column("row").to_pylist()]
-    return fit(feature_rows, np.array(collected.column("label").to_pylist(), dtype=np.int64) > 0)
+    lists = collected.column("row").combine_chunks()
+    stops, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    feature_rows = [flat[a:b] for a, b in zip(stops[:-1], stops[1:])]
+    return fit(feature_rows, collected.column("label").to_numpy() > 0)
 
 
 def score_with(model: QualityModel) -> Callable[[Column], Column]:
