@@ -13,8 +13,7 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Keep the documents that the quality rules accept."""
     prepared(spark)
     rows = docs.select(F.struct("*").alias("row"), "lang", "text")
-    found = quality_rules.judged(rows, quality_rules.references(docs))
-    return found.filter("q.kept").select("row.*")
+    return quality_rules.accepted(rows, quality_rules.references(docs)).select("row.*")
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
