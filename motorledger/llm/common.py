@@ -28,13 +28,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Folders written by :func:`stored` in this process.
+_written: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; cuts lineage and survives lost executors."""
     path = shared_folder(df.sparkSession, name)
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, needed: DataFrame) -> None:
+    """Delete the stored tables of finished work, all but those that ``needed`` is read from.
+
+    For a caller that knows that every other result built on them has been written.
+    """
+    folders = {name.rsplit("/", 2)[-2] for name in needed.inputFiles()}
+    context = spark.sparkContext
+    for path in [p for p in _written if p.rsplit("/", 1)[-1] not in folders]:
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+        _written.remove(path)
+
+
 def id_remainder(parts: int, key: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(parts))
