@@ -1,4 +1,8 @@
-"""From raw documents to packed sequences: five stages, each a whole-table job of one operator."""
+"""From raw documents to packed sequences: five stages, each a whole-table job of one operator.
+
+A stage's result is written before the next stage starts, so a stage begins by deleting the
+intermediate tables of the one before it.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorledger.llm import decontaminate, packing, quality_model, quality_rules, simhash
-from motorledger.llm.common import id_remainder, numbered, prepared, stored, table
+from motorledger.llm.common import id_remainder, numbered, prepared, release, stored, table
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality rules accept."""
-    prepared(spark)
+    release(prepared(spark), docs)
     rows = docs.select(F.struct("*").alias("row"), "lang", "text")
     return quality_rules.accepted(rows, quality_rules.references(docs)).select("row.*")
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier, fitted on labelled ones, predicts to be good."""
-    prepared(spark)
+    release(prepared(spark), docs)
     model = quality_model.train(docs, table(spark, sf_dir, "labels"), id_remainder(5) != 0)
     found = quality_model.classified(docs.select(F.struct("*").alias("row"), "text"), model)
     return found.filter("q.predicted = 1").select("row.*")
@@ -26,18 +30,19 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the least id, then the first row."""
-    prepared(spark)
+    release(prepared(spark), docs)
     rows = numbered(docs.select(F.struct("*").alias("row"), "doc_id", "text"), "near-duplicate-rows")
     groups = simhash.near_duplicates(rows, "row_id").select("key", "component")
     ids = rows.select(F.col("row_id").alias("key"), "doc_id")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
     kept = groups.join(ids, "key").groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.key").alias("row_id"))
-    return rows.join(stored(kept, "kept-rows"), "row_id", "left_semi").select("row.*")
+    # the kept ids grow with the table: one plan, a sorted join, at every size
+    return rows.hint("merge").join(stored(kept, "kept-rows"), "row_id", "left_semi").select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a passage of the benchmark."""
-    prepared(spark)
+    release(prepared(spark), docs)
     rows = numbered(docs.select(F.struct("*").alias("row"), "text"), "benchmark-rows")
     found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), "row_id")
     hit = stored(found.filter("n_hit > 0").select("row_id"), "contaminated-rows")
@@ -46,7 +51,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences; one row per piece."""
-    prepared(spark)
+    release(prepared(spark), docs)
     return packing.packed(docs)
 
 
