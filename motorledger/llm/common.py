@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,29 +29,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-#: Folders written by :func:`stored` in this process.
-_written: list[str] = []
+#: Folders written by :func:`stored` while :func:`noting` is open.
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """Collect the folders that are written meanwhile, for :func:`release`."""
+    _noted.append([])
+    try:
+        yield _noted[-1]
+    finally:
+        _noted.pop()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; cuts lineage and survives lost executors."""
     path = shared_folder(df.sparkSession, name)
-    _written.append(path)
+    for folders in _noted:
+        folders.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, needed: DataFrame) -> None:
-    """Delete the stored tables of finished work, all but those that ``needed`` is read from.
-
-    For a caller that knows that every other result built on them has been written.
-    """
-    folders = {name.rsplit("/", 2)[-2] for name in needed.inputFiles()}
+def release(spark: SparkSession, folders: list[str]) -> None:
+    """Delete stored tables; for a caller that knows that every result built on them has been written."""
     context = spark.sparkContext
-    for path in [p for p in _written if p.rsplit("/", 1)[-1] not in folders]:
+    for path in folders:
         where = context._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-        _written.remove(path)
+    folders.clear()
 
 
 def id_remainder(parts: int, key: str = "doc_id") -> Column:
