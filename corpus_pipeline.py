@@ -1,36 +1,55 @@
 """From raw documents to packed sequences: five stages, each a whole-table job of one operator.
 
 A stage's result is written before the next stage starts, so a stage begins by deleting the
-intermediate tables of the one before it.
+intermediate tables of the one before it, and no others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorledger.llm import decontaminate, packing, quality_model, quality_rules, simhash
-from motorledger.llm.common import id_remainder, numbered, prepared, release, stored, table
+from motorledger.llm.common import id_remainder, noting, numbered, prepared, release, stored, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Intermediate tables of the stage that ran last.
+_last: list[str] = []
+
+
+def _stage(build: Stage) -> Stage:
+    @wraps(build)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(prepared(spark), _last)
+        with noting() as folders:
+            found = build(spark, docs, sf_dir)
+        _last.extend(folders)
+        return found
+
+    return run_stage
 
 
+@_stage
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality rules accept."""
-    release(prepared(spark), docs)
     rows = docs.select(F.struct("*").alias("row"), "lang", "text")
     return quality_rules.accepted(rows, quality_rules.references(docs)).select("row.*")
 
 
+@_stage
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier, fitted on labelled ones, predicts to be good."""
-    release(prepared(spark), docs)
     model = quality_model.train(docs, table(spark, sf_dir, "labels"), id_remainder(5) != 0)
     found = quality_model.classified(docs.select(F.struct("*").alias("row"), "text"), model)
     return found.filter("q.predicted = 1").select("row.*")
 
 
+@_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the least id, then the first row."""
-    release(prepared(spark), docs)
     rows = numbered(docs.select(F.struct("*").alias("row"), "doc_id", "text"), "near-duplicate-rows")
     groups = simhash.near_duplicates(rows, "row_id").select("key", "component")
     ids = rows.select(F.col("row_id").alias("key"), "doc_id")
@@ -40,18 +59,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.hint("merge").join(stored(kept, "kept-rows"), "row_id", "left_semi").select("row.*")
 
 
+@_stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a passage of the benchmark."""
-    release(prepared(spark), docs)
     rows = numbered(docs.select(F.struct("*").alias("row"), "text"), "benchmark-rows")
     found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), "row_id")
     hit = stored(found.filter("n_hit > 0").select("row_id"), "contaminated-rows")
     return rows.join(hit, "row_id", "left_anti").select("row.*")
 
 
+@_stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences; one row per piece."""
-    release(prepared(spark), docs)
     return packing.packed(docs)
 
 
