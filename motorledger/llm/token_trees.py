@@ -9,6 +9,7 @@ fall on old ones again. Only those leaves are replaced, and only the sums above
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +39,14 @@ class Counter:
     def __call__(self, parts: list[str]) -> np.ndarray:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        missing = list(dict.fromkeys(p for p in parts if p not in self.known))
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update(zip(some, [len(e.ids) for e in found]))
-        self.encoded += len(missing)
-        return np.fromiter((self.known[p] for p in parts), np.int64, len(parts))
+        found = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+        if len(at := np.flatnonzero(found < 0)):
+            missing = list(dict.fromkeys(parts[i] for i in at.tolist()))
+            done = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            self.known.update(zip(missing, [len(e.ids) for e in done]))
+            self.encoded += len(missing)
+            found[at] = [self.known[parts[i]] for i in at.tolist()]
+        return found
 
 
 class Tree:
