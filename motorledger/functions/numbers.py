@@ -13,7 +13,7 @@ _MODES = ("coerce", "strip_commas", "digits_only")
 
 # A cast that fails costs an exception inside the task, so the shape is checked first.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-WHOLE = r"^[+-]?\d{1,18}$"
+WHOLE = r"^[+-]?\d+$"  # any length: what does not fit its type becomes null in the cast
 
 
 def _parse(text: Column) -> Column:

@@ -114,13 +114,20 @@ def fill_where(df: DataFrame, where: Column, col: str, other: str) -> DataFrame:
 
 
 def conform_money(df: DataFrame, money_words: Iterable[str] = V.MONEY_WORDS) -> DataFrame:
-    """Types to write: wide decimal for money-like names, narrow for other floats."""
+    """Types to write: wide decimal for money-like names, narrow for other floats.
+
+    An amount that does not fit its type raises rather than become null; NaN and infinities are null.
+    """
     words = tuple(money_words)
     out = {}
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             money = any(word in field.name for word in words)
-            out[field.name] = F.col(field.name).try_cast("decimal(18,2)" if money else "decimal(10,2)")
+            amount = F.col(f"`{field.name}`")
+            known = F.when(~F.isnan(amount) & (F.abs(amount) != float("inf")), amount)
+            fits = F.abs(known) < (1e16 if money else 1e8) - 0.005
+            checked = F.when(known.isNull() | fits, known).otherwise(F.raise_error(F.concat(F.lit(f"{field.name} does not fit: "), amount.cast("string"))).cast("double"))
+            out[field.name] = checked.cast("decimal(18,2)" if money else "decimal(10,2)")
         elif isinstance(field.dataType, T.DateType):
             out[field.name] = F.col(field.name).cast(NTZ)
     return df.withColumns(out) if out else df

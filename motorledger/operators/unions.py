@@ -21,6 +21,9 @@ def _common(a: T.DataType, b: T.DataType) -> T.DataType:
     if isinstance(a, T.NullType):
         return b
     if isinstance(a, numeric) and isinstance(b, numeric):
+        if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):  # money stays exact
+            scale = max(a.scale, b.scale)
+            return T.DecimalType(min(38, max(a.precision - a.scale, b.precision - b.scale) + scale), scale)
         whole = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
         return T.LongType() if isinstance(a, whole) and isinstance(b, whole) else T.DoubleType()
     if isinstance(a, temporal) and isinstance(b, temporal):

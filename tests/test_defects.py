@@ -194,3 +194,31 @@ def test_same_result_for_any_partitioning(spark, rows):
 def test_union_distinct_treats_nulls_as_equal(spark):
     df = spark.createDataFrame([(None, 1), (None, 1)], "a string, b int")
     assert unions.union_distinct(df, df).count() == 1
+
+
+def test_long_ids_stay_whole(spark):
+    from pyspark.sql import types as T
+
+    from motorledger.operators.columns import conform
+
+    df = spark.createDataFrame([("1234567890123456789",), ("99999999999999999999",), ("12.0",)], "id string")
+    got = conform(df, T.StructType([T.StructField("id", T.LongType())])).collect()
+    assert [r["id"] for r in got] == [1234567890123456789, None, None]
+
+
+def test_amounts_that_do_not_fit_raise(spark):
+    import pytest
+
+    from motorledger.operators.columns import conform_money
+
+    df = spark.createDataFrame([(250_000_000.0,), (None,), (float("nan"),)], "weight double")
+    with pytest.raises(Exception, match="does not fit"):
+        conform_money(df, ["price"]).collect()
+    assert [r[0] is None for r in conform_money(df, ["weight"]).collect()] == [False, True, True]
+
+
+def test_unions_keep_decimals(spark):
+    from motorledger.operators.unions import union_outer
+
+    wide, narrow = spark.sql("select cast(1 as decimal(18,2)) as x"), spark.sql("select cast(2 as decimal(10,4)) as x")
+    assert union_outer(wide, narrow).schema["x"].dataType.simpleString() == "decimal(20,4)"
