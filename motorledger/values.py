@@ -5,6 +5,8 @@ results only agree with the source systems when these stay exactly as written.
 """
 
 # --- words -------------------------------------------------------------------
+MASK = "*****"
+SHORTENED = "{}... (长度: {}字符)"
 YES = "是"
 NO = "否"
 CASH = "全款"
