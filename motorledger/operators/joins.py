@@ -276,7 +276,8 @@ def interval_join(
     Rules are laid out by the years they touch and gathered per key and year, so a fact
     row meets one small list and never one row per rule. Facts are neither grouped nor
     numbered. Years outside the range share the edge years, the exact bounds are checked
-    in the list. Ties on the start go to the largest remaining values.
+    in the list. Ties on the start go to the largest remaining values. Facts without a key or
+    a time match nothing and are spread over the partitions.
     """
     keys = list(keys)
     years = F.sequence(_year(F.col(start), first_year, last_year), _year(F.col(end), first_year, last_year))
@@ -287,9 +288,11 @@ def interval_join(
         .groupBy(*[f"_k{i}" for i in range(len(keys))], "_y")
         .agg(F.collect_set("_rule").alias("_rules"))
     )
-    facts = left.withColumn("_fy", _year(F.col(ts), first_year, last_year))
-    condition = _all([F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]) & (F.col("_fy") == F.col("_y"))
-    joined = facts.join(rules, condition, "left")
+    rules = rules.withColumn("_r0", _zero_of("_y"))
+    facts = left.withColumn("_fy", _year(F.col(ts), first_year, last_year)).withColumn(
+        _SPREAD, F.when(_no_key(keys) | F.col(ts).isNull(), _spread_of(left, keys)).otherwise(F.lit(0).cast("bigint"))
+    )
+    joined = facts.join(rules, _same(keys, "_r0") & (F.col("_fy") == F.col("_y")), "left")
     # the list comes from the rule side, the moment from the fact side
     hit = F.array_max(
         F.filter("_rules", lambda r: (r["_s"] <= F.col(ts)) & (r["_e"] >= F.col(ts)))
@@ -302,44 +305,47 @@ def interval_join(
 
 def asof_lookup(
     left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, start: str,
-    cols: Sequence[str], bucket_days: int = 1,
+    cols: Sequence[str], bucket_days: float = 1,
 ) -> DataFrame:
     """For each left row the latest right row of its key that started at or before ``ts``.
 
     Both sides may be large. Time is cut into buckets, each (key, bucket) is scanned
     once in time order, and what was known at the end of earlier buckets is carried in
-    from a small per-bucket table. A heavy key is therefore split over its buckets, and
-    no pairs are formed. Unmatched left rows stay.
+    from a small per-bucket table. A heavy key is therefore split over its buckets, which
+    may be parts of a day, and no pairs are formed. Unmatched left rows stay; those without
+    a key or a time match nothing and are spread by a number of their own.
     """
     keys = list(keys)
     payload = F.struct(F.col(start).alias("_s"), *[F.col(c).alias(c) for c in cols])
-    micros = bucket_days * 86_400_000_000
+    micros = int(bucket_days * 86_400_000_000)
     bucket = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / micros)
     l = left.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(ts).alias("_t"), F.lit(1).alias("_side"),
-        F.when(_no_key(keys) | F.col(ts).isNull(), -_spread_of(left, keys)).otherwise(bucket(F.col(ts))).alias("_b"),
+        bucket(F.col(ts)).alias("_b"),
+        F.when(_no_key(keys) | F.col(ts).isNull(), _spread_of(left, keys)).otherwise(F.lit(0).cast("bigint")).alias(_SPREAD),
         F.struct(*[F.col(c) for c in left.columns]).alias("_l"),
     )
     r = right.where(~_no_key(keys) & F.col(start).isNotNull()).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(start).alias("_t"), F.lit(0).alias("_side"), bucket(F.col(start)).alias("_b"),
-        payload.alias("_r"),
+        F.lit(0).cast("bigint").alias(_SPREAD), payload.alias("_r"),
     )
     both = l.unionByName(r, allowMissingColumns=True)
     ks = [f"_k{i}" for i in range(len(keys))]
     known = F.when(F.col("_side") == 0, F.col("_r"))
-    ends = both.groupBy(*ks, "_b").agg(F.max(known).alias("_end"))
+    ends = both.where(F.col(_SPREAD) == 0).groupBy(*ks, "_b").agg(F.max(known).alias("_end"))
     earlier = Window.partitionBy(*ks).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *[F.col(k).alias(f"{k}c") for k in ks], F.col("_b").alias("_bc"), F.max("_end").over(earlier).alias("_carry")
+        *[F.col(k).alias(f"{k}c") for k in ks], F.col("_b").alias("_bc"), _zero_of(*ks).alias("_r0"),
+        F.max("_end").over(earlier).alias("_carry"),
     ).where(F.col("_carry").isNotNull())
     in_order = (
-        Window.partitionBy(*ks, "_b").orderBy("_t", "_side", "_r")
+        Window.partitionBy(*ks, "_b", _SPREAD).orderBy("_t", "_side", "_r")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     scanned = both.withColumn("_now", F.max(known).over(in_order)).where(F.col("_side") == 1)
-    condition = _all([F.col(k) == F.col(f"{k}c") for k in ks]) & (F.col("_b") == F.col("_bc"))
+    condition = _all([F.col(k) == F.col(f"{k}c") for k in ks]) & (F.col("_b") == F.col("_bc")) & (F.col(_SPREAD) == F.col("_r0"))
     joined = scanned.join(carried, condition, "left")
     best = F.coalesce(F.col("_now"), F.col("_carry"))
     return joined.select("_l.*", *[best[c].alias(c) for c in cols])

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from motorledger.functions.dates import NTZ
 
 Order = Sequence[str | tuple[str, str]]
+#: Copies of a row that one task writes out.
+_RUN = 100_000
 
 
 def sort_columns(order: Order, flip: bool = False) -> list[Column]:
@@ -86,24 +88,27 @@ def allocate_once(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[
     """The first row of a group keeps ``col``, the others get 0.
 
     Rows of a group are not numbered: equal rows are counted, the first is found by a
-    combinable minimum and compared. Copies are counted per source task, so many copies
-    of one row stay spread when they are written out again.
+    combinable minimum over the values alone, so a task that runs again finds the same one.
+    Many copies of one row are written out again in runs, dealt to several tasks.
     """
     from motorledger.operators.joins import attach_group
 
     names = list(df.columns)
-    copies = (
-        df.withColumn("_task", F.pmod(F.spark_partition_id(), F.lit(4096)))
-        .groupBy(*names, "_task").agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    by = [*order, *[c for c in names if c not in order], "_task"]
+    copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+    by = [*order, *[c for c in names if c not in order]]
     rank = F.struct(*[x for c in by for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(c))])
     # null is a group of its own here: as one record the keys are never null and compare equal
     ranked = copies.withColumn("_rank", rank).withColumn("_group", F.struct(*keys))
     judged = attach_group(ranked, ["_group"], {"_first": F.min("_rank")})
-    place = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    spelled = judged.select(*names, (F.col("_rank") == F.col("_first")).alias("_is_first"), place.alias("_place"))
-    kept = F.when(F.col("_is_first") & (F.col("_place") == 1), F.col(col)).otherwise(F.lit(0))
+    last = F.col("_copies") - 1
+    runs = judged.select(
+        *names, (F.col("_rank") == F.col("_first")).alias("_is_first"), last.alias("_last"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(_RUN).cast("bigint"))).alias("_run"),
+    )
+    dealt = runs.repartition(*names, "_run")
+    place = F.explode(F.sequence("_run", F.least(F.col("_last"), F.col("_run") + (_RUN - 1)))).alias("_place")
+    spelled = dealt.select(*names, "_is_first", place)
+    kept = F.when(F.col("_is_first") & (F.col("_place") == 0), F.col(col)).otherwise(F.lit(0))
     kind = df.schema[col].dataType
     return spelled.withColumn(col, kept.cast(kind)).select(*names)
 
