@@ -13,6 +13,17 @@ NTZ = "timestamp_ntz"
 _DAY_MICROS = 86_400_000_000
 
 
+# --- fixed values: other shapes in which the ledgers' dates are accepted, and their ISO order
+_SHAPES = [
+    (r"^(\d{4})(\d{2})(\d{2})( .*)?$", "$1-$2-$3$4"),
+    (r"^(\d{4})\.(\d{1,2})\.(\d{1,2})( .*)?$", "$1-$2-$3$4"),
+    (r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4})( .*)?$", "$3-$1-$2$4"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})( .*)?$", "$3-$2-$1$4"),
+]
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_NAMED = r"^(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.? +(\d{1,2}),? +(\d{4})( .*)?$"
+
+
 def when_at(text: str) -> Column:
     """A wall-clock literal."""
     return F.lit(text).cast(NTZ)
@@ -34,10 +45,14 @@ def parse_ts(c: ColumnLike) -> Column:
     digits, which here are months or days.
     """
     text = F.trim(as_col(c).cast("string"))
-    digits = F.concat_ws("-", F.left(text, F.lit(4)), F.substring(text, 5, 2), F.right(text, F.lit(2)))
-    return F.when(text.rlike(r"^\d{4}([-/年]|$)"), _to_iso(text).try_cast(NTZ)).when(
-        text.rlike(r"^\d{8}$"), digits.try_cast(NTZ)
-    )
+    iso = F.when(text.rlike(r"^\d{4}([-/年]|$)"), _to_iso(text))
+    for shape, order in _SHAPES:
+        iso = iso.when(text.rlike(shape), F.regexp_replace(text, shape, order))
+    place = F.instr(F.lit(_MONTHS), F.lower(F.left(text, F.lit(3))))
+    month = F.floor((place + 2) / 3).cast("string")
+    named = F.concat(F.regexp_replace(text, _NAMED, "$3-"), month, F.regexp_replace(text, _NAMED, "-$2$4"))
+    iso = iso.when(text.rlike(_NAMED), named)
+    return iso.try_cast(NTZ)
 
 
 def parse_cn_date(c: ColumnLike) -> Column:

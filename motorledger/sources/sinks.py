@@ -22,6 +22,8 @@ from motorledger.operators.unions import union_outer
 from motorledger.operators.upserts import merge_latest, replace_rows, upsert
 
 BUCKET = "bucket"
+#: Empty file beside the buckets that tells their number; scans skip names with an underscore.
+_LAYOUT = "_buckets-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -126,7 +128,19 @@ def _write_buckets(df: DataFrame, path: str) -> None:
 
 
 def create_keyed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    _check_buckets(df.sparkSession, path, buckets)
+    fs, at = _fs(df.sparkSession, f"{path}/{_LAYOUT}{buckets}")
     _write_buckets(df.withColumn(BUCKET, bucket_of(key, buckets)), path)
+    fs.create(at, True).close()
+
+
+def _check_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Another number of buckets would look for keys in the wrong ones: refuse it."""
+    fs, at = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    kept = {int(n.removeprefix(_LAYOUT)) for n in names if n.startswith(_LAYOUT)}
+    if kept - {buckets}:
+        raise ValueError(f"{path} is laid out in {sorted(kept)} buckets, not {buckets}")
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
@@ -155,6 +169,7 @@ def upsert_table(batch: DataFrame, path: str, key: str, order: Order = (), bucke
         first = {"latest": lambda e: merge_latest(e, batch, key, ts)}.get(how, lambda e: upsert(e, batch, key, order))
         create_keyed(first(batch.limit(0)), path, key, buckets)
         return
+    _check_buckets(spark, path, buckets)
     changes = {
         "upsert": lambda t: upsert(t, batch, key, order),
         "replace": lambda t: replace_rows(t, batch, key, order),
@@ -169,6 +184,7 @@ def upsert_table(batch: DataFrame, path: str, key: str, order: Order = (), bucke
 
 def delete_rows(spark: SparkSession, path: str, ids: DataFrame, column: str, key: str, buckets: int = 8) -> None:
     """Remove rows whose ``column`` is among ``ids._id``."""
+    _check_buckets(spark, path, buckets)
     if column == key:
         touched = ids.select(bucket_of("_id", buckets).alias(BUCKET))
     else:

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from motorledger.functions.dates import when_at
 
 _log = logging.getLogger(__name__)
-_INLINE_VALUES = 200
 
 
 def scan_table(
@@ -36,16 +35,13 @@ def scan_since(
 
 
 def scan_in(df: DataFrame, wanted: Mapping[str, Iterable]) -> DataFrame:
-    """Rows whose columns are in the given lists; long lists become a semi join."""
+    """Rows whose columns are in the given lists; values are brought to the column's type first.
+
+    The lists are the caller's own, and stay in the plan, so they reach the scan at any length.
+    """
     for name, values in wanted.items():
-        values = list(values)
-        if len(values) <= _INLINE_VALUES:
-            df = df.where(F.col(name).isin(*values))
-        else:
-            kind = df.schema[name].dataType
-            schema = T.StructType([T.StructField(name, kind)])
-            side = df.sparkSession.createDataFrame([(v,) for v in set(values)], schema)
-            df = df.join(side, name, "left_semi")
+        kind = df.schema[name].dataType
+        df = df.where(F.col(name).isin(*[F.lit(v).cast(kind) for v in dict.fromkeys(values)]))
     return df
 
 
