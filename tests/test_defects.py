@@ -2,11 +2,14 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from motorledger import values as V
-from motorledger.operators import quality, unions
+from motorledger.functions.dates import parse_ts
+from motorledger.operators import documents, joins, keep, quality, unions
 from motorledger.plans import accessories, app, dashboard, film, finance, orders, products, sales, scores, stock
+from motorledger.sources import sinks, tables
 
 
 def day(text):
@@ -222,3 +225,55 @@ def test_unions_keep_decimals(spark):
 
     wide, narrow = spark.sql("select cast(1 as decimal(18,2)) as x"), spark.sql("select cast(2 as decimal(10,4)) as x")
     assert union_outer(wide, narrow).schema["x"].dataType.simpleString() == "decimal(20,4)"
+
+
+def test_asof_rows_without_time_or_key_match_nothing(spark, rows):
+    left = spark.createDataFrame([("a", None, 1), (None, day("1960-05-01"), 2), ("a", day("1960-05-01"), 3), ("a", day("1890-01-01"), 4)], "k string, ts timestamp_ntz, n int")
+    rules = spark.createDataFrame([("a", day("1900-01-01"), "r")], "k string, start timestamp_ntz, rule string")
+    for days in (1, 0.25):
+        assert rows(joins.asof_lookup(left, rules, ["k"], "ts", "start", ["rule"], days), "n", "rule") == [(1, None), (2, None), (3, "r"), (4, None)]
+
+
+def test_interval_rows_without_time_or_key_match_nothing(spark, rows):
+    left = spark.createDataFrame([("a", None, 1), (None, day("2024-05-01"), 2), ("a", day("2024-05-01"), 3)], "k string, ts timestamp_ntz, n int")
+    rules = spark.createDataFrame([("a", day("1900-01-01"), day("2090-01-01"), "r")], "k string, s timestamp_ntz, e timestamp_ntz, rule string")
+    assert rows(joins.interval_join(left, rules, ["k"], "ts", "s", "e", ["rule"]), "n", "rule") == [(1, None), (2, None), (3, "r")]
+
+
+def test_a_keyed_table_refuses_another_bucket_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.create_keyed(spark.range(50), path, "id", 16)
+    with pytest.raises(ValueError, match="16"):
+        sinks.upsert_table(spark.range(50), path, "id")
+    with pytest.raises(ValueError, match="16"):
+        sinks.delete_rows(spark, path, spark.createDataFrame([("1",)], "_id string"), "id", "id")
+    sinks.upsert_table(spark.range(60), path, "id", buckets=16)
+    assert sinks.read_keyed(spark, path).count() == 60
+
+
+def test_lists_of_any_length_are_read_alike(spark):
+    df = spark.range(1000)
+    assert tables.scan_in(df, {"id": ["1", "2", "5000"]}).count() == 2
+    assert tables.scan_in(df, {"id": [str(i) for i in range(300)]}).count() == 300
+
+
+def test_more_date_forms(spark):
+    forms = ["2024.01.05", "01/05/2024", "20240105 10:00:00", "Jan 5 2024", "January 5, 2024", "13/01/2024", "Jan 2024", "2024.13.05", "20240105", "4 Jan"]
+    got = [r[0] for r in spark.createDataFrame([(f,) for f in forms], "t string").select(parse_ts("t")).collect()]
+    five = day("2024-01-05")
+    assert got == [five, five, five.replace(hour=10), five, five, day("2024-01-13"), None, None, five, None]
+
+
+def test_many_copies_are_allocated_once(spark, monkeypatch):
+    monkeypatch.setattr(keep, "_RUN", 7)
+    df = spark.createDataFrame([("a", 1, 5.0)] * 50 + [("a", 2, 5.0)] * 3 + [(None, None, 4.0)] * 8, "k string, n int, cost double")
+    out = keep.allocate_once(df.repartition(5), ["k"], "cost", ["n"])
+    assert out.groupBy("k").agg(F.sum("cost").alias("s"), F.count("*").alias("c")).orderBy("k").collect() == [(None, 4.0, 8), ("a", 5.0, 53)]
+
+
+def test_collected_values_are_whole_and_in_order(spark):
+    deep = '{"id": {"id": [1, {"id": "a,}\\"b"}], "x": 2}, "x" : [ ], "y": [{"x": 2}, "id", ":"], "z": 1.50}'
+    got = spark.createDataFrame([(deep,), (None,), ("{}",), ('{"id":',)], "t string").select(documents.collect_json_keys("t", ["id", "x", "z"])).collect()
+    inner = '"a,}\\"b"'
+    ids = f'[{{"id":[1,{{"id":{inner}}}],"x":2}},[1,{{"id":{inner}}}],{inner}]'
+    assert [r[0] for r in got] == [{"id": ids, "x": "[2,[],2]", "z": "1.50"}, {}, {}, {}]
