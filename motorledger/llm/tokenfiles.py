@@ -41,18 +41,23 @@ _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 46)
 _WORD = np.uint64(16)
 
 
+#: What a guess's confidence becomes, by (was right) * 8 + confidence; a wrong guess of none is replaced.
+_SHIFT = np.array([0, -1, -2, -2, -2, -2, -2, -2, 1, 1, 1, 1, 1, 1, 1, 0], np.int32)
+
+
 class _Model:
-    """The shared predictions; the same calls in the same order give the same state on both sides."""
+    """The shared predictions; the same calls in the same order give the same state on both sides.
+
+    A context's state is one number, its guess times 8 plus the confidence from 0 to 7.
+    """
 
     def __init__(self, vocabulary: int, lanes: int):
-        self.guess1 = np.zeros(vocabulary, np.int32)
-        self.trust1 = np.zeros(vocabulary, np.int8)
-        self.guess2 = np.zeros(1 << _PAIR_BITS, np.int32)
-        self.trust2 = np.zeros(1 << _PAIR_BITS, np.int8)
+        self.state1 = np.zeros(vocabulary, np.int32)
+        self.state2 = np.zeros(1 << _PAIR_BITS, np.int32)
         self.outcomes = np.tile(np.array([0.4, 0.4, 0.4]), (64, 1))
-        self.shares = np.zeros((64, 2), np.int64)
         self.counts = np.ones(vocabulary, np.float64)
         self.fresh: list[np.ndarray] = []  # ids not yet counted
+        self.told: list[np.ndarray] = []  # classes with outcomes not yet counted
         self.last = np.zeros(lanes, np.int64)
         self.slot = np.zeros(lanes, np.int64)
         self.steps = 0
@@ -61,34 +66,43 @@ class _Model:
     def _renew(self) -> None:
         if self.fresh:
             self.counts += 24 * np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
-            self.fresh = []
+            self.outcomes += np.bincount(np.concatenate(self.told), minlength=192).reshape(64, 3)
+            self.fresh, self.told = [], []
         free = (1 << _FREQ_BITS) - len(self.counts)
         freq = 1 + (self.counts * (free / self.counts.sum())).astype(np.int64)
         freq[-1] += (1 << _FREQ_BITS) - int(freq.sum())  # what rounding left
-        self.until = np.concatenate([[0], np.cumsum(freq)])
+        self.freq = freq.astype(np.uint64)
+        self.until = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint64)
         self.owner: np.ndarray | None = None
         whole = self.outcomes.sum(1, keepdims=True)
-        self.shares = 1 + ((self.outcomes[:, :2] / whole) * ((1 << _SHARE_BITS) - 3)).astype(np.int64)
+        shares = 1 + ((self.outcomes[:, :2] / whole) * ((1 << _SHARE_BITS) - 3)).astype(np.int64)
+        both = shares.sum(1)
+        #: by class: where order 2 and order 1 end, and the share of order 0
+        self.end2, self.end1 = shares[:, 0] << _FREQ_BITS, both << _FREQ_BITS
+        self.rest = ((1 << _SHARE_BITS) - both).astype(np.uint64)
+        self.starts = np.stack([0 * both, self.end2, self.end1], 1).reshape(-1).astype(np.uint64)
+        self.sizes = np.stack([self.end2, self.end1 - self.end2, 0 * both], 1).reshape(-1).astype(np.uint64)
 
     def holder(self, value: np.ndarray) -> np.ndarray:
         """The id whose order-0 interval holds ``value``."""
         if self.owner is None:
-            self.owner = np.repeat(np.arange(len(self.counts), dtype=np.int32), np.diff(self.until))
+            self.owner = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.freq.astype(np.int64))
         return self.owner[value]
 
     def look(self):
-        """What is predicted for every lane: both guesses, their class, and their shares."""
-        g1, g2 = self.guess1[self.last], self.guess2[self.slot]
-        kind = self.trust2[self.slot].astype(np.int64) * 8 + self.trust1[self.last]
-        return g2, g1, kind, self.shares[kind, 0], self.shares[kind, 1]
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray, look) -> None:
-        g2, g1, kind = look[:3]
-        for guess, trust, spot, said in ((self.guess2, self.trust2, self.slot, g2), (self.guess1, self.trust1, self.last, g1)):
-            right, had = said == ids, trust[spot]
-            guess[spot] = np.where(right | (had > 0), said, ids)
-            trust[spot] = np.where(right, np.minimum(had + 1, 7), np.maximum(had - 2, 0))
-        self.outcomes += np.bincount(kind * 3 + outcome, minlength=192).reshape(64, 3)
+        """What is predicted for every lane: the states of both contexts, both guesses, and their class."""
+        s2, s1 = self.state2[self.slot], self.state1[self.last]
+        return s2, s1, s2 >> 3, s1 >> 3, ((s2 & 7) << 3) | (s1 & 7)
+
+    def learn(self, ids: np.ndarray, told: np.ndarray, look) -> None:
+        """Take in the ids of a step; ``told`` is class * 3 + outcome."""
+        s2, s1, g2, g1, _ = look
+        new = ids.astype(np.int32) << 3
+        for table, spot, state, said in ((self.state2, self.slot, s2, g2), (self.state1, self.last, s1, g1)):
+            right = (said == ids).astype(np.int32)
+            mark = (right << 3) | (state & 7)
+            table[spot] = np.where(mark == 0, new, state + _SHIFT[mark])
+        self.told.append(told)
         self.fresh.append(ids)
         self.slot = ((self.last * 0x9E3779B1 + ids * 0x85EBCA6B) >> 12) & ((1 << _PAIR_BITS) - 1)
         self.last = ids
@@ -97,19 +111,15 @@ class _Model:
             self._renew()
 
 
-def _interval(model: _Model, ids: np.ndarray, look) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Outcome (0, 1, 2 for order 2, 1, 0), and the id's start and size out of 2**32."""
-    g2, g1, _, share2, share1 = look
-    outcome = np.where(g2 == ids, 0, np.where(g1 == ids, 1, 2))
-    rest = (1 << _SHARE_BITS) - share2 - share1
-    low = model.until[ids]
-    start = np.where(outcome == 0, 0, np.where(outcome == 1, share2 << _FREQ_BITS, ((share2 + share1) << _FREQ_BITS) + rest * low))
-    size = np.where(outcome == 0, share2 << _FREQ_BITS, np.where(outcome == 1, share1 << _FREQ_BITS, rest * (model.until[ids + 1] - low)))
-    return outcome, start.astype(np.uint64), size.astype(np.uint64)
-
-
-def _unsettled(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(wide < _BOTTOM)
+def _interval(model: _Model, ids: np.ndarray, outcome: np.ndarray, kind: np.ndarray):
+    """Class with outcome (0, 1, 2 for order 2, 1, 0), and the id's start and size out of 2**32."""
+    told = kind * 3 + outcome
+    start, size = model.starts[told], model.sizes[told]
+    plain = np.flatnonzero(outcome == 2)
+    rest, one = model.rest[kind[plain]], ids[plain]
+    start[plain] += rest * model.until[one]
+    size[plain] = rest * model.freq[one]
+    return told, start, size
 
 
 def _cut(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
@@ -132,20 +142,25 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     words: list[np.ndarray] = []
     for now in dealt:
         look = model.look()
-        outcome, start, size = _interval(model, now, look)
+        g2, g1, kind = look[2:]
+        outcome = np.where(g2 == now, 0, 2 - (g1 == now).view(np.int8))
+        told, start, size = _interval(model, now, outcome, kind)
         unit = wide >> np.uint64(32)
-        low = low + start * unit
+        low += start * unit
         wide = size * unit
-        while len(at := _unsettled(low, wide)):
-            part, reach = low[at], _cut(low[at], wide[at])
+        at = np.flatnonzero(wide < _BOTTOM)
+        while len(at):
+            part = low[at]
+            reach = _cut(part, wide[at]) << _WORD
             owners.append(at)
             words.append((part >> np.uint64(48)).astype(np.uint16))
-            low[at], wide[at] = part << _WORD, reach << _WORD
-        model.learn(now, outcome, look)
+            low[at], wide[at] = part << _WORD, reach
+            at = at[reach < _BOTTOM]
+        model.learn(now, told, look)
     for shift in (48, 32, 16, 0):
         owners.append(np.arange(lanes))
         words.append((low >> np.uint64(shift)).astype(np.uint16))
-    owner = np.concatenate(owners)
+    owner = np.concatenate(owners).astype(np.uint16)  # of 16 bits: sorted by digits
     stream = np.concatenate(words)[np.argsort(owner, kind="stable")]
     body = np.bincount(owner, minlength=lanes).astype("<u4").tobytes() + stream.astype("<u2").tobytes()
     head = (_MAGIC, count, lanes, vocabulary, len(stream), zlib.crc32(body), zlib.crc32(ids.astype("<u4").tobytes()))
@@ -171,23 +186,29 @@ def decode_block(block: bytes) -> np.ndarray:
     low, wide = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64((1 << 64) - 1))
     for step in range(steps):
         look = model.look()
-        g2, g1, _, share2, share1 = look
+        g2, g1, kind = look[2:]
         unit = wide >> np.uint64(32)
         value = np.minimum((code - low) // unit, np.uint64((1 << 32) - 1)).astype(np.int64)
-        both = (share2 + share1) << _FREQ_BITS
-        inner = np.maximum(value - both, 0) // ((1 << _SHARE_BITS) - share2 - share1)
-        plain = model.holder(np.minimum(inner, (1 << _FREQ_BITS) - 1))
-        now = np.where(value < share2 << _FREQ_BITS, g2, np.where(value < both, g1, plain)).astype(np.int64)
-        outcome, start, size = _interval(model, now, look)
-        low = low + start * unit
+        end1 = model.end1[kind]
+        outcome = (value >= model.end2[kind]).astype(np.int64) + (value >= end1)
+        now = np.where(outcome == 0, g2, g1).astype(np.int64)
+        plain = np.flatnonzero(outcome == 2)
+        inner = (value[plain] - end1[plain]).astype(np.uint64) // model.rest[kind[plain]]
+        now[plain] = model.holder(np.minimum(inner, np.uint64((1 << _FREQ_BITS) - 1)).astype(np.int64))
+        # a guess of the lower order that order 2 made as well is never coded by that order
+        told, start, size = _interval(model, now, outcome, kind)
+        low += start * unit
         wide = size * unit
-        while len(at := _unsettled(low, wide)):
-            part, reach = low[at], _cut(low[at], wide[at])
+        at = np.flatnonzero(wide < _BOTTOM)
+        while len(at):
+            part = low[at]
+            reach = _cut(part, wide[at]) << _WORD
             code[at] = (code[at] << _WORD) | stream[spot[at]]
             spot[at] += 1
-            low[at], wide[at] = part << _WORD, reach << _WORD
+            low[at], wide[at] = part << _WORD, reach
+            at = at[reach < _BOTTOM]
         out[step] = now
-        model.learn(now, outcome, look)
+        model.learn(now, told, look)
     ids = np.ascontiguousarray(out.T).reshape(-1)[:count].astype(np.uint32)
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
         raise ValueError("token block does not give back its ids")
