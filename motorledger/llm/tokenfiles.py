@@ -71,8 +71,8 @@ class _Model:
         free = (1 << _FREQ_BITS) - len(self.counts)
         freq = 1 + (self.counts * (free / self.counts.sum())).astype(np.int64)
         freq[-1] += (1 << _FREQ_BITS) - int(freq.sum())  # what rounding left
-        self.freq = freq.astype(np.uint64)
-        self.until = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint64)
+        self.freq = freq.astype(np.uint32)
+        self.until = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint32)
         self.owner: np.ndarray | None = None
         whole = self.outcomes.sum(1, keepdims=True)
         shares = 1 + ((self.outcomes[:, :2] / whole) * ((1 << _SHARE_BITS) - 3)).astype(np.int64)
@@ -236,7 +236,7 @@ def _write_task(path: str, end_id: int, block_ids: int):
             ]
             return pa.RecordBatch.from_arrays(columns, ["part", "block", "n_ids", "doc_ids", "lengths", "payload"])
 
-        for batch, texts in slices(batches, most=4 << 20):
+        for batch, texts in slices(batches):
             for key, ids in zip(batch.column(0).to_pylist(), encode.encode(texts)):
                 keys.append(key)
                 held.append(np.append(ids, np.uint32(end_id)))
@@ -269,7 +269,7 @@ def _read_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lengths = np.array(one.column("lengths")[0].as_py(), np.int64)
             stops = np.cumsum(lengths)
             data = ids.astype("<u4")
-            sums = [zlib.crc32(data[b - n : b].tobytes()) for b, n in zip(stops.tolist(), lengths.tolist())]
+            sums = [zlib.crc32(data[b - n : b]) for b, n in zip(stops.tolist(), lengths.tolist())]
             repeat = lambda name: pa.array([one.column(name)[0].as_py()] * len(lengths), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [repeat("part"), repeat("block"), one.column("doc_ids")[0].values, pa.array(stops - lengths), pa.array(lengths), pa.array(sums, pa.int64())],

@@ -17,13 +17,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Chunks remembered by one worker; beyond that it starts anew.
+#: Chunks remembered by one worker; beyond that it forgets those that it met least often.
 REMEMBERED = 1_000_000
 _CUT = "\x01"
 _RUN = 50  # new chunks encoded in one go
-#: ASCII white space, and ASCII letters and digits, by byte.
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
-_PLAIN = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
+#: By byte: 1 for ASCII white space, 2 for ASCII letters and digits.
+_CLASS = bytes(1 if b in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32) else 2 * (b < 128 and chr(b).isalnum()) for b in range(256))
 
 _loaded: dict[str, "ChunkEncoder"] = {}
 
@@ -49,8 +48,37 @@ class ChunkEncoder:
         self.flat = np.zeros(1 << 20, np.uint32)
         self.first = np.zeros(1 << 19, np.int64)
         self.length = np.zeros(1 << 19, np.int64)
+        self.met = np.zeros(1 << 19, np.int64)
         self.used = 0
 
+    def _thin(self) -> None:
+        """Keep what was met in more than one call, at most half of the room; counts start anew."""
+        count = len(self.codes)
+        met = self.met[:count]
+        least = 2
+        while np.count_nonzero(met >= least) > REMEMBERED // 2:
+            least += 1
+        kept = np.flatnonzero(met >= least)
+        names = list(self.codes)  # in the order of their codes
+        first, size = self.first[kept], self.length[kept]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(first - (ends - size), size) + np.arange(int(size.sum()))]
+        self._forget()
+        self._grow(len(ids), len(kept))
+        self.flat[: len(ids)] = ids
+        self.first[: len(kept)] = ends - size
+        self.length[: len(kept)] = size
+        self.codes = {names[i]: code for code, i in enumerate(kept.tolist())}
+        self.used = len(ids)
+
+    def _grow(self, ids: int, chunks: int) -> None:
+        while ids > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while chunks > len(self.first):
+            for name in ("first", "length", "met"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks and give each the next code.
 
@@ -58,9 +86,11 @@ class ChunkEncoder:
         tokens of their own there, which mark where a chunk's ids end.
         """
         code = len(self.codes)
-        joined = [c for c in chunks if c and "\n" not in c and (c[1:] if c[0] == " " else c).strip() == (c[1:] if c[0] == " " else c) != ""]
-        rest = set(joined)
-        chunks = joined + [c for c in chunks if c not in rest]
+        joined, rest = [], []
+        for chunk in chunks:
+            word = chunk.removeprefix(" ")
+            (joined if word and "\n" not in word and word.strip() == word else rest).append(chunk)
+        chunks = joined + rest
         parts, sizes = [], []
         runs = ["\n".join(joined[at : at + _RUN]) + "\n" for at in range(0, len(joined), _RUN)]
         for done in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False):
@@ -74,11 +104,7 @@ class ChunkEncoder:
         ids, size = np.concatenate(parts), np.concatenate(sizes)
         if len(size) != len(chunks):
             raise ValueError("line ends between chunks were not kept apart by this tokenizer")
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while code + len(chunks) > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        self._grow(self.used + len(ids), code + len(chunks))
         self.flat[self.used : self.used + len(ids)] = ids
         self.first[code : code + len(chunks)] = self.used + np.cumsum(size) - size
         self.length[code : code + len(chunks)] = size
@@ -93,17 +119,19 @@ class ChunkEncoder:
         from the bytes nearby, the cut counts as unsafe.
         """
         lengths = np.array([len(t) + 1 if t else 1 for t in texts], np.int64)
-        data = np.frombuffer(b"\0" * 2 + b"".join((t or b"") + b"\0" for t in texts), np.uint8)
+        joined = b"\0" * 2 + b"\0".join([t or b"" for t in texts]) + b"\0"
+        data = np.frombuffer(joined, np.uint8)
+        classes = np.frombuffer(joined.translate(_CLASS), np.uint8)
+        blank, plain = classes == 1, classes == 2
         now, last, before = data[2:], data[1:-1], data[:-2]
         two = (last >= 128) & (before >= 0xC3) & (before <= 0xDF)  # ends a letter or mark of two bytes
-        space = (now == 32) & (_BLANK[last] | (last >= 128) & ~two | (last == 0))
-        letter = _PLAIN[last] | (two & (before == 0xC3) & (last != 0x97) & (last != 0xB7))
+        space = (now == 32) & (blank[1:-1] | (last >= 128) & ~two | (last == 0))
+        letter = plain[1:-1] | (two & (before == 0xC3) & (last != 0x97) & (last != 0xB7))
         coarse = ((now == 44) | (now == 46)) & ~letter
-        coarse |= (last == 10) & (_BLANK[now] | (now >= 128) & (now != 0xC3))
+        coarse |= (last == 10) & (blank[2:] | (now >= 128) & (now != 0xC3))
         whole_ones = space | (now == 1) | (now == 0) & (last == 32)
-        starts = np.cumsum(lengths) - lengths
-        uncut = np.logical_or.reduceat(whole_ones, starts) if len(texts) else []
-        rough = np.logical_or.reduceat(coarse, starts) if len(texts) else []
+        ends = np.cumsum(lengths)
+        uncut, rough = (np.bincount(np.searchsorted(ends, np.flatnonzero(x), "right"), minlength=len(texts)) for x in (whole_ones, coarse))
         marked: list[str | None] = []
         whole: dict[int, str] = {}
         for at, raw in enumerate(texts):
@@ -120,7 +148,7 @@ class ChunkEncoder:
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of every text as uint32 arrays; a null text has none."""
         if len(self.codes) > REMEMBERED:
-            self._forget()
+            self._thin()
         marked, whole = self._marked(texts)
         lists = pc.split_pattern(pa.array(marked, pa.large_string()), _CUT)
         stops = lists.offsets.to_numpy()
@@ -131,6 +159,7 @@ class ChunkEncoder:
             new = [chunks[i] for i in missing.tolist()]
             self._learn(new)
             codes[missing] = np.fromiter(map(self.codes.__getitem__, new), np.int64, len(new))
+        self.met[codes] += 1  # every code once
         first, size = self.first[codes], self.length[codes]
         order = coded.indices.to_numpy()
         sizes = size[order]
