@@ -41,8 +41,11 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 @_stage
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that the classifier, fitted on labelled ones, predicts to be good."""
-    model = quality_model.train(docs, table(spark, sf_dir, "labels"), id_remainder(5) != 0)
+    """Keep the documents that the classifier predicts to be good.
+
+    It is fitted on labelled rows of the documents table: earlier stages drop most bad examples.
+    """
+    model = quality_model.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder(5) != 0)
     found = quality_model.classified(docs.select(F.struct("*").alias("row"), "text"), model)
     return found.filter("q.predicted = 1").select("row.*")
 

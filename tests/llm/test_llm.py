@@ -354,3 +354,21 @@ def test_pipeline(spark):
             assert [k in left for k, _ in texts[:60]] == [n == 0 for n in hits]
     out = {r["doc_id"] for r in cp.run(spark, SF).select("doc_id").collect()}
     assert out == left
+
+
+def test_pipeline_classifier_learns_from_documents_that_the_rules_drop(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    turn = np.random.default_rng(11)
+    common = "the of and in".split()
+    good, bad = ([f"{a}{b}{c}" for a in start for b in "aeiou" for c in "lmnrst"] for start in ("bdgh", "kpvz"))
+    text = lambda words, n: " ".join(turn.choice(common if i % 5 == 0 else words) for i in range(n))
+    whole = [(i, text(good, 70), "en", "s") for i in range(60)] + [(i, text(bad, 20), "en", "s") for i in range(60, 100)]
+    whole += [(1000, text(bad, 70), "en", "s"), (1001, text(good, 70), "en", "s")]  # without labels
+    spark.createDataFrame(whole, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 60)) for i in range(100)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    ruled = {r["doc_id"] for r in cp.quality_rules_stage(spark, docs, str(tmp_path)).collect()}
+    assert ruled == {*range(60), 1000, 1001}  # short ones go: no label 0 is left, the bad text is
+    left = cp.quality_classifier_stage(spark, docs.filter(F.col("doc_id").isin(*ruled)), str(tmp_path)).collect()
+    assert {r["doc_id"] for r in left} == {*range(60), 1001}
