@@ -4,6 +4,8 @@ The leaves of a document's tree are runs of pre-tokens; a node holds the charact
 tokens below it. An edit finds its leaves by descending the tree, goes back to a boundary that
 the edit cannot have moved, and pre-tokenises and encodes from there until the new boundaries
 fall on old ones again. Only those leaves are replaced, and only the sums above them change.
+The tokenizer's added tokens, such as an end mark, are cut out of a text before the pattern is
+used, as the library does; each is a pre-token of its own.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from motorledger.llm.tokens import REMEMBERED, encoder, tokenizer_path
 #: The pre-token pattern of byte-level BPE. Fixed value of the tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 32  # pre-tokens in a new leaf
-#: A pre-token is settled once so many characters behind it are unchanged (longest look-ahead).
+#: A pre-token is settled once so many characters behind it are unchanged (longest look-ahead),
+#: and as many more as an added token that reaches into the change can have in front of it.
 CONTEXT = 3
 _PRE = regex.compile(PATTERN)
 _counts: dict[str, dict[str, int]] = {}
@@ -33,6 +36,12 @@ class Counter:
 
     def __init__(self, path: str):
         self.tokenizer = encoder(path).tokenizer
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("added tokens that depend on the characters beside them are not handled")
+        names = sorted((t.content for t in added), key=len, reverse=True)  # the longest one counts
+        self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
+        self.context = CONTEXT + max(map(len, names), default=1) - 1
         self.known = _counts.setdefault(path, {})
         self.encoded = 0
 
@@ -49,6 +58,21 @@ class Counter:
         return found
 
 
+def _pre_tokens(text: str, begin: int, count: Counter) -> Iterator[regex.Match]:
+    """Pre-tokens from the boundary ``begin`` on; look-ahead ends at an added token."""
+    for mark in count.added.finditer(text, begin) if count.added else ():
+        yield from _PRE.finditer(text, begin, mark.start())
+        yield mark
+        begin = mark.end()
+    yield from _PRE.finditer(text, begin)
+
+
+def _parts(text: str, count: Counter) -> list[str]:
+    if count.added and count.added.search(text):
+        return [found.group() for found in _pre_tokens(text, 0, count)]
+    return _PRE.findall(text)
+
+
 class Tree:
     """Heap-shaped sums: row 1 is the root, leaves start at ``self.base``; columns are characters, tokens."""
 
@@ -107,7 +131,7 @@ def _leaves(parts: list[str], count: Counter) -> np.ndarray:
 
 
 def build(text: str, count: Counter) -> Tree:
-    return Tree(_leaves(_PRE.findall(text), count))
+    return Tree(_leaves(_parts(text, count), count))
 
 
 def apply_edit(text: str, tree: Tree, start: int, stop: int, new: str, count: Counter) -> tuple[str, int]:
@@ -119,17 +143,17 @@ def apply_edit(text: str, tree: Tree, start: int, stop: int, new: str, count: Co
     stop = min(max(stop, start), len(text))
     edited = text[:start] + new + text[stop:]
     if not tree.count:
-        fresh = _leaves(_PRE.findall(edited), count)
+        fresh = _leaves(_parts(edited, count), count)
         tree.__init__(fresh)
         return edited, len(edited)
-    first, begin = tree.find(max(start - CONTEXT, 0))
+    first, begin = tree.find(max(start - count.context, 0))
     # a leaf's first boundary counts as settled only if the context behind it is unchanged
-    while first > 0 and begin + CONTEXT > start:
+    while first > 0 and begin + count.context > start:
         first -= 1
         begin -= int(tree.leaves[first, 0])
     if first == 0:
         begin = 0
-    elif begin + CONTEXT > start:
+    elif begin + count.context > start:
         first, begin = 0, 0
     shift = len(new) - (stop - start)
     last, last_begin = tree.find(stop)
@@ -137,8 +161,7 @@ def apply_edit(text: str, tree: Tree, start: int, stop: int, new: str, count: Co
     end, probe = last_begin, last
     parts: list[str] = []
     at, settled = begin, None
-    scan = _PRE.finditer(edited, begin)
-    for found in scan:
+    for found in _pre_tokens(edited, begin, count):
         parts.append(found.group())
         at = found.end()
         if at < start + len(new):

@@ -372,3 +372,38 @@ def test_pipeline_classifier_learns_from_documents_that_the_rules_drop(spark, tm
     assert ruled == {*range(60), 1000, 1001}  # short ones go: no label 0 is left, the bad text is
     left = cp.quality_classifier_stage(spark, docs.filter(F.col("doc_id").isin(*ruled)), str(tmp_path)).collect()
     assert {r["doc_id"] for r in left} == {*range(60), 1001}
+
+
+_BITS = st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", "|>", " ", "  ", "\n", "a", "!", "'r", "e", "1"]), max_size=60).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(_BITS, st.lists(st.tuples(st.integers(0, 300), st.integers(0, 20), _BITS.map(lambda t: t[:30])), max_size=4))
+def test_added_tokens_count_as_the_library_counts_them(text, edits):
+    count = token_trees.Counter(tokenizer_path())
+    size = lambda t: len(count.tokenizer.encode(t, add_special_tokens=False).ids)
+    tree = token_trees.build(text, count)
+    assert tree.tokens == size(text)
+    for start, long, new in edits:
+        text, _ = token_trees.apply_edit(text, tree, start, start + long, new, count)
+        assert tree.tokens == size(text) and int(tree.sums[1, 0]) == len(text)
+
+
+def test_added_tokens_made_and_broken_by_edits_far_into_a_text():
+    count, mark = token_trees.Counter(tokenizer_path()), "<|endoftext|>"
+    for lead in range(25, 70):
+        for front, behind in ((mark[:k], mark[k:]) for k in range(1, len(mark))):
+            text = "a " * lead + "! " + " " * (lead % 3) + front + behind[1:] + " b" * 40
+            at = text.index(front + behind[1:]) + len(front)
+            tree = token_trees.build(text, count)
+            for start, stop, new in ((at, at, behind[0]), (at, at + 1, "")):  # made, then broken
+                text, _ = token_trees.apply_edit(text, tree, start, stop, new, count)
+                assert tree.tokens == len(count.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_added_tokens_in_the_rows_of_token_counts(docs):
+    got = token_trees.edited_counts(token_trees.with_trees(docs.drop("q")), queries.document_edits()).select("text", "q.*").collect()
+    e = encoder(tokenizer_path()).tokenizer
+    for r in got:
+        assert r["n_before"] == len(e.encode(r["text"] or "", add_special_tokens=False).ids)
+        assert r["n_after"] == len(e.encode(r["edited"], add_special_tokens=False).ids)
