@@ -407,3 +407,12 @@ def test_added_tokens_in_the_rows_of_token_counts(docs):
     for r in got:
         assert r["n_before"] == len(e.encode(r["text"] or "", add_special_tokens=False).ids)
         assert r["n_after"] == len(e.encode(r["edited"], add_special_tokens=False).ids)
+
+
+def test_score_features_hold_both_skips():
+    units, place = np.arange(10, 16), np.arange(6)
+    hashes = np.full(6, 5)
+    other = units.copy()
+    other[2] = 99  # three places in front of the last one
+    a, b = maxent._features(hashes, units, place)[5], maxent._features(hashes, other, place)[5]
+    assert len(a) == 4 and (a[:3] == b[:3]).all() and a[3] != b[3]
