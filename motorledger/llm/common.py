@@ -98,3 +98,9 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     The numbers are written once and read back, so they never change when a task runs again.
     """
     return stored(df.withColumn("row_id", F.monotonically_increasing_id()), name)
+
+
+def attached(docs: DataFrame, made: Column, name: str = "q") -> DataFrame:
+    """``docs`` with the column ``name``, last; like ``withColumn``, it takes the place of one so named (in any case)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() != name.lower()]
+    return docs.select(*others, made.alias(name))

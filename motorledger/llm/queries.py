@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorledger.llm import (
-    decontaminate, language, maxent, packing, quality_model, quality_rules, simhash, token_trees, tokenfiles, url_filter,
+    decontaminate, language, maxent, packing, periodic, quality_model, quality_rules, simhash, token_trees, tokenfiles, url_filter,
 )
 from motorledger.llm.common import id_remainder, stored, table
 
@@ -90,6 +90,37 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_ids(tokenfiles.write_ids(table(spark, folder, "documents")))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where one document in ten gets a periodic tail.
+
+    With h the crc32 of the id as text, g = h div 10 and n words, a text whose h ends in 0 becomes its
+    words joined by spaces, word i from a = g % n on being word a + (i - a) % p, where
+    p = 1 + (n - a) div (3 + g % 8). A null id counts as the empty text.
+    """
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.array_remove(F.split(F.translate(F.col("text").cast("string"), "\t\n\x0b\x0c\r", "     "), " "), "")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n, g = F.size("w"), F.col("g")
+    rows = rows.select("doc_id", "text", "w", "g", F.when(n > 0, (g % n).cast("int")).alias("a"))
+    period = 1 + F.floor((n - F.col("a")) / (3 + g % 8)).cast("int")
+    rows = rows.select("doc_id", "text", "w", "a", period.alias("p"))
+    tail = lambda word, i: F.when(i < F.col("a"), word).otherwise(F.get("w", F.col("a") + (i - F.col("a")) % F.col("p")))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.transform("w", tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.with_runs(planted(table(spark, folder, "documents")))
+    runs = F.col("q.runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))["run"]
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2(F.col("q.collapsed"), 256).alias("collapsed_sha256"),
+    )
+    milli = F.expr("1000 * best.length div best.period")
+    return rows.select("doc_id", "n_runs", "best.*", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -133,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
