@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorledger.llm import (
-    decontaminate, language, maxent, packing, periodic, quality_model, quality_rules, simhash, token_trees, tokenfiles, url_filter,
+    decontaminate, language, maxent, packing, periodic, phrases, quality_model, quality_rules, simhash, token_trees, tokenfiles, url_filter,
 )
 from motorledger.llm.common import id_remainder, stored, table
 
@@ -90,6 +90,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_ids(tokenfiles.write_ids(table(spark, folder, "documents")))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def planted(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``, where one document in ten gets a periodic tail.
 
@@ -153,6 +158,44 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM d LEFT JOIN covered c ON d.r = c.r LEFT JOIN items i ON d.r = i.r
 """
 
+OP12_SQL = f"""
+WITH pieces AS (
+    SELECT coalesce(CAST(lang AS VARCHAR), 'und') AS lang,
+        unnest(string_split_regex({_LOWER.format("text")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+),
+d AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM d GROUP BY lang),
+f AS (
+    SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase, count(*) AS a
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+    GROUP BY ALL HAVING count(*) >= 30
+),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (
+    SELECT lang, k, phrase, a, j, array_to_string(w[1:j], ' ') AS first, array_to_string(w[j + 1:], ' ') AS rest
+    FROM (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS j FROM c)
+),
+scored AS (
+    SELECT cut.lang, cut.k, cut.phrase, cut.a, j, x.a AS l, y.a AS r,
+        CAST(CAST(2000000 AS HUGEINT) * cut.a // (x.a + y.a) AS BIGINT) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.first AND x.k = j
+    JOIN f y ON y.lang = cut.lang AND y.phrase = cut.rest AND y.k = cut.k - j
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_parts AS (
+    SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS a
+    FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS s FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)
+    GROUP BY ALL
+),
+kept AS (
+    SELECT lowest.* FROM lowest LEFT JOIN inner_parts i ON i.lang = lowest.lang AND i.phrase = lowest.phrase
+    WHERE i.a IS NULL OR 100 * i.a < 80 * lowest.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -164,8 +207,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op12_collocations": OP12_SQL}
