@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorledger.llm import (
-    decontaminate, language, maxent, packing, periodic, phrases, quality_model, quality_rules, simhash, token_trees, tokenfiles, url_filter,
+    decontaminate, language, maxent, packing, periodic, phrases, quality_model, quality_rules, simhash, token_trees, tokenfiles, url_filter, warc,
 )
 from motorledger.llm.common import id_remainder, stored, table
 
@@ -90,6 +90,16 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_ids(tokenfiles.write_ids(table(spark, folder, "documents")))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, folder, "pages").select("page_id", "url", "html"))
+    found = warc.read_archives(spark, archives, with_payload=False).filter("kind = 'record'")
+    return found.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes",
+        F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"), F.col("type").alias("record_type"),
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     found = phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -158,6 +168,16 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM d LEFT JOIN covered c ON d.r = c.r LEFT JOIN items i ON d.r = i.r
 """
 
+OP11_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS data FROM pages),
+d AS (SELECT page_id, octet_length(data) AS size, sha256(data) AS digest FROM p),
+firsts AS (SELECT digest, min(page_id) AS first FROM d WHERE size >= 100 GROUP BY digest)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+    CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id IS NULL OR page_id > first THEN first END AS refers_to
+FROM d LEFT JOIN firsts ON d.digest = firsts.digest
+"""
+
 OP12_SQL = f"""
 WITH pieces AS (
     SELECT coalesce(CAST(lang AS VARCHAR), 'und') AS lang,
@@ -207,9 +227,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op11_warc": op11_warc,
     "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op12_collocations": OP12_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op11_warc": OP11_SQL, "op12_collocations": OP12_SQL}
