@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from motorledger.functions.dates import parse_ts
 from motorledger.operators.keep import Order, last_per_key
@@ -59,12 +60,33 @@ def latest_then_upsert(
     return _merge(target, latest, key, keep, F.col("_new"))
 
 
+def _after(new: str, old: str, ts: str, fields: Sequence[T.StructField]) -> Column:
+    """Whether the ``new`` side is the later event: by time, then by the least of the other values.
+
+    This is the order in which one row per key is chosen within a batch; unknown values come last.
+    """
+    a, b = F.col(f"{new}{ts}"), F.col(f"{old}{ts}")
+
+    def rank(side: str) -> Column:
+        parts = [F.lit(0)]
+        for f in fields:
+            c = F.col(f"{side}{f.name}").cast(f.dataType)
+            parts += [c.isNull(), F.to_json(c) if isinstance(f.dataType, (T.MapType, T.VariantType)) else c]
+        return F.struct(*[p.alias(f"r{i}") for i, p in enumerate(parts)])
+
+    by_content = rank(new) < rank(old)
+    return F.when(a.eqNullSafe(b), by_content).when(a.isNull(), False).when(b.isNull(), True).otherwise(a > b)
+
+
 def merge_latest(target: DataFrame, batch: DataFrame, key: str, ts: str) -> DataFrame:
-    """Upsert by event time: a late batch row that is older than the target never wins."""
+    """Upsert by event order: a late batch row that is older than the target never wins.
+
+    The order is total, by time and then content, so any split of the rows into batches leads
+    to the same table, as long as the batches have the same columns.
+    """
+    kinds = {f.name: f for f in target.schema.fields}
+    batch = batch.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in target.columns if c in batch.columns])
     latest = _one_per_key(batch, key, [ts])
-    newer = F.col("_new") & (
-        F.col("_old").isNull()
-        | F.col(f"t_{ts}").isNull()
-        | (F.col(f"b_{ts}").cast(target.schema[ts].dataType) >= F.col(f"t_{ts}"))
-    )
+    others = [kinds[c] for c in latest.columns if c not in (key, ts)]
+    newer = F.col("_new") & (F.col("_old").isNull() | _after("b_", "t_", ts, others))
     return _merge(target, latest, key, (), newer)

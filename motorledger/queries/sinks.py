@@ -128,6 +128,27 @@ def _(t: Tables):
     return upserts.latest_then_upsert(target, batch, "user_id", "at")
 
 
+@query(
+    "k7_stored_latest_record",
+    """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN ts < '2024-01-16' THEN 1 ELSE 2 END AS batch FROM events WHERE event_type <> 'error'),
+            n AS (SELECT *, row_number() OVER (PARTITION BY user_id, batch ORDER BY at DESC, event_id) AS rn,
+                    min(batch) OVER (PARTITION BY user_id) AS first_batch, max(batch) OVER (PARTITION BY user_id) AS last_batch FROM e),
+            w AS (SELECT * FROM n WHERE rn = 1)
+       SELECT l.user_id, f.event_id AS id, 'batch ' || f.batch AS create_time, l.value, l.at
+       FROM w l JOIN w f ON f.user_id = l.user_id AND f.batch = f.first_batch WHERE l.batch = l.last_batch""",
+)
+def _(t: Tables):
+    path = shared_folder(t.spark, "records")
+    schema = T.StructType.fromDDL("user_id bigint, id bigint, create_time string, value double, at string")
+    conf = sinks.TableConf(path, schema, "user_id", mode="latest_record", ts="at")
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at")
+    rows = t.events.where("event_type <> 'error'").select("user_id", F.col("event_id").alias("id"), "value", at, "ts")
+    for number, part in enumerate((rows.where(F.col("ts") < CUT), rows.where(F.col("ts") >= CUT)), 1):
+        sinks.save(conf, part.withColumn("create_time", F.lit(f"batch {number}")).drop("ts"))
+    sinks.clean_keyed(t.spark, path)
+    return sinks.read_keyed(t.spark, path)
+
+
 @query("k8_save_by_mode", """SELECT 'keyed' AS kind, user_id AS id, event_id AS n FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1
        UNION ALL SELECT 'full', c_custkey, c_nationkey FROM customer""")

@@ -1,8 +1,8 @@
 """Writing tables.
 
 Replaced tables are written to a fresh ``v=<n>`` folder and become visible when Spark has
-committed that folder, so a failed run never leaves a half table. Keyed tables are laid
-out by a hash bucket of their key; a batch rewrites the buckets it touches and no others.
+committed that folder, so a failed run never leaves a half table. Tables that are merged by key
+are in :mod:`motorledger.sources.keyed`.
 """
 
 from __future__ import annotations
@@ -11,38 +11,28 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from motorledger.operators.columns import conform, conform_money, dedupe_columns
-from motorledger.operators.joins import anti
-from motorledger.operators.keep import Order
 from motorledger.operators.unions import union_outer
-from motorledger.operators.upserts import merge_latest, replace_rows, upsert
-
-BUCKET = "bucket"
-#: Empty file beside the buckets that tells their number; scans skip names with an underscore.
-_LAYOUT = "_buckets-"
-
-
-def _fs(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
+from motorledger.sources.keyed import (  # noqa: F401 - part of this module's interface
+    clean_keyed, create_keyed, delete_rows, file_system, read_keyed, upsert_table,
+)
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     return fs.exists(at)
 
 
 def _has_data(spark: SparkSession, path: str) -> bool:
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     return any(not s.getPath().getName().startswith(("_", ".")) and s.getLen() > 0 for s in fs.listStatus(at))
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     if not fs.exists(at):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(at)]
@@ -63,7 +53,7 @@ def write_replace(df: DataFrame, path: str, fmt: str = "parquet", allow_empty: b
     except Py4JJavaError:  # a plan proven empty at run time reports no metrics
         rows = spark.read.format(fmt).options(**options).load(target).count() if _has_data(spark, target) else 0
     if rows == 0 and not allow_empty:
-        fs, at = _fs(spark, target)
+        fs, at = file_system(spark, target)
         fs.delete(at, True)
     return rows
 
@@ -80,6 +70,17 @@ def read_current(
     return reader.load(f"{path}/v={versions[-1]}")
 
 
+def clean_versions(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Delete the published versions but the newest ``keep``, and unfinished ones before them."""
+    if keep < 1:
+        raise ValueError("a table keeps at least its newest version")
+    known = _versions(spark, path)
+    fs, at = file_system(spark, path)
+    first = known[-keep:][0] if known else 0
+    old = [s.getPath() for s in (fs.listStatus(at) if known else []) if s.getPath().getName().startswith("v=")]
+    return sum(bool(fs.delete(p, True)) for p in old if int(p.getName()[2:]) < first)
+
+
 def write_append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -114,102 +115,12 @@ def truncate_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(out, "table_name string, result string, message string")
 
 
-def bucket_of(key: str | Column, buckets: int) -> Column:
-    c = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(c.cast("string")), F.lit(buckets)).cast("int")
-
-
-def _write_buckets(df: DataFrame, path: str) -> None:
-    # rebalancing lets adaptive execution split a big bucket into several files
-    (
-        df.hint("rebalance", BUCKET).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-    )
-
-
-def create_keyed(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    _check_buckets(df.sparkSession, path, buckets)
-    fs, at = _fs(df.sparkSession, f"{path}/{_LAYOUT}{buckets}")
-    _write_buckets(df.withColumn(BUCKET, bucket_of(key, buckets)), path)
-    fs.create(at, True).close()
-
-
-def _check_buckets(spark: SparkSession, path: str, buckets: int) -> None:
-    """Another number of buckets would look for keys in the wrong ones: refuse it."""
-    fs, at = _fs(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
-    kept = {int(n.removeprefix(_LAYOUT)) for n in names if n.startswith(_LAYOUT)}
-    if kept - {buckets}:
-        raise ValueError(f"{path} is laid out in {sorted(kept)} buckets, not {buckets}")
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
-
-
-def _numbers(touched: DataFrame) -> list[int]:
-    """Bucket numbers, at most as many as the table has buckets."""
-    return [r[0] for r in touched.select(BUCKET).distinct().collect()]
-
-
-def _rewrite(
-    spark: SparkSession, path: str, numbers: list[int], change: Callable[[DataFrame], DataFrame], key: str, buckets: int
-) -> None:
-    """Apply ``change`` to these buckets and put them in place of the old ones."""
-    if numbers:
-        table = spark.read.parquet(path).where(F.col(BUCKET).isin(*numbers)).drop(BUCKET)
-        _write_buckets(change(table).withColumn(BUCKET, bucket_of(key, buckets)), path)
-
-
-def upsert_table(batch: DataFrame, path: str, key: str, order: Order = (), buckets: int = 8, how: str = "upsert", ts: str | None = None) -> None:
-    """Merge a batch into a keyed table; ``how`` is upsert, replace or latest (by ``ts``)."""
-    spark = batch.sparkSession
-    batch = batch.where(F.col(key).isNotNull())
-    if not exists(spark, path):
-        first = {"latest": lambda e: merge_latest(e, batch, key, ts)}.get(how, lambda e: upsert(e, batch, key, order))
-        create_keyed(first(batch.limit(0)), path, key, buckets)
-        return
-    _check_buckets(spark, path, buckets)
-    changes = {
-        "upsert": lambda t: upsert(t, batch, key, order),
-        "replace": lambda t: replace_rows(t, batch, key, order),
-        "latest": lambda t: merge_latest(t, batch, key, ts),
-    }
-    batch = batch.persist()  # read once for the touched buckets and once for the merge
-    try:
-        _rewrite(spark, path, _numbers(batch.select(bucket_of(key, buckets).alias(BUCKET))), changes[how], key, buckets)
-    finally:
-        batch.unpersist()
-
-
-def delete_rows(spark: SparkSession, path: str, ids: DataFrame, column: str, key: str, buckets: int = 8) -> None:
-    """Remove rows whose ``column`` is among ``ids._id``."""
-    _check_buckets(spark, path, buckets)
-    if column == key:
-        touched = ids.select(bucket_of("_id", buckets).alias(BUCKET))
-    else:
-        found = spark.read.parquet(path).select(F.col(column).cast("string").alias("_id"), BUCKET)
-        touched = found.join(ids, "_id", "left_semi").select(BUCKET)
-
-    def change(table: DataFrame) -> DataFrame:
-        return anti(table.withColumn("_id", F.col(column).cast("string")), ids, "_id").drop("_id")
-
-    numbers = _numbers(touched)
-    if not numbers:
-        return
-    # a bucket that loses all its rows is not written, so it has to be removed
-    remaining = change(spark.read.parquet(path).where(F.col(BUCKET).isin(*numbers)))
-    present = _numbers(remaining)
-    if present:
-        _rewrite(spark, path, numbers, change, key, buckets)
-    for number in set(numbers) - set(present):
-        fs, at = _fs(spark, f"{path}/{BUCKET}={number}")
-        fs.delete(at, True)
-
-
 @dataclass(frozen=True)
 class TableConf:
-    """How a table is kept: keyed tables are merged, the others replaced."""
+    """How a table is kept: keyed tables are merged, the others replaced.
+
+    ``mode`` is full, or a merge of :func:`upsert_table`; the latest ones need the time column ``ts``.
+    """
 
     path: str
     schema: T.StructType
@@ -217,13 +128,15 @@ class TableConf:
     order: Sequence[str] = ()
     mode: str = "upsert"
     buckets: int = 8
+    ts: str | None = None
+    keep: Sequence[str] = ("id", "create_time")
 
 
 def save(conf: TableConf, batch: DataFrame) -> int | None:
     """Load a batch the way its table asks for."""
     if conf.mode == "full" or conf.key is None:
         return full_refresh(batch, conf.schema, conf.path)
-    upsert_table(conform(batch, conf.schema), conf.path, conf.key, conf.order, conf.buckets, conf.mode)
+    upsert_table(conform(batch, conf.schema), conf.path, conf.key, conf.order, conf.buckets, conf.mode, conf.ts, conf.keep)
     return None
 
 
@@ -233,11 +146,15 @@ def incremental_update(source: DataFrame, path: str, key: str, clean: Callable[[
 
 
 def load_report(spark: SparkSession, loads: Mapping[str, Callable[[], int]]) -> DataFrame:
-    """Run the loads and list rows and outcome per table; a failure does not stop the rest."""
+    """Run the loads and list rows and outcome per table; a failure does not stop the rest.
+
+    A load without rows leaves its table as it was: the outcome is ``kept``.
+    """
     out = []
     for name, load in loads.items():
         try:
-            out.append((name, "ok", load(), ""))
+            rows = load()
+            out.append((name, "kept" if rows == 0 else "ok", rows, ""))
         except Exception as error:  # noqa: BLE001 - the report is the place for it
             out.append((name, "failed", None, type(error).__name__))
     return spark.createDataFrame(out, "table_name string, result string, rows bigint, message string")

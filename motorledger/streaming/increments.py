@@ -13,16 +13,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from motorledger.operators.deletes import targets, deleted_ids, parse_delete_log
-from motorledger.sources.sinks import exists, delete_rows, upsert_table
+from motorledger.sources.keyed import clean_keyed, delete_rows, is_keyed, read_keyed, upsert_table
+
+#: Versions of a table that a stream leaves: a reader has one batch to finish in.
+KEPT_VERSIONS = 2
 
 
 def stream_upsert(
     records: DataFrame, path: str, key: str, ts: str, checkpoint: str, buckets: int = 8
 ) -> StreamingQuery:
-    """Keep the latest record per key by event time; a late older record never wins."""
+    """Keep the latest record per key by event time; a late older record never wins.
+
+    Records of one key and time are ordered by their other columns, so the table does not
+    depend on how the records were split into batches.
+    """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         upsert_table(batch, path, key, buckets=buckets, how="latest", ts=ts)
+        if is_keyed(batch.sparkSession, path):
+            clean_keyed(batch.sparkSession, path, KEPT_VERSIONS)
 
     return (
         records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -40,11 +49,12 @@ def stream_deletes(
         spark = batch.sparkSession
         parsed = parse_delete_log(batch)
         for table, path in paths.items():
-            if not exists(spark, path):
+            if not is_keyed(spark, path):
                 continue
-            columns = spark.read.parquet(path).columns
+            columns = read_keyed(spark, path).columns
             for column, names in targets(table, titles, keys, columns).items():
                 delete_rows(spark, path, deleted_ids(parsed, names), column, keys[table], buckets)
+            clean_keyed(spark, path, KEPT_VERSIONS)
 
     return (
         log.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
