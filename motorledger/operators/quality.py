@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,14 +94,8 @@ def header_gaps(df: DataFrame, source: str, header_list: str, template: Sequence
     )
 
 
-def check_rows(
-    df: DataFrame, file: str, row: str, rules: Sequence[Rule], before: tuple[str, str] | None = None
-) -> DataFrame:
-    """One output row per violation, all rules in a single pass over the data.
-
-    ``before`` names two date columns of which the first must be the earlier; the pair is
-    skipped when either is missing or unreadable.
-    """
+def _checks(df: DataFrame, rules: Sequence[Rule], before: tuple[str, str] | None) -> list[tuple]:
+    """Field, value, rule and message of every check that the columns of ``df`` allow."""
     checks = []
     for rule in rules:
         if rule.field in df.columns:
@@ -109,6 +105,21 @@ def check_rows(
         a, b = (F.col(c).cast("string") for c in before)
         late = F.when(parse_ts(a) >= parse_ts(b), _say(before[0], " must be before ", before[1]))
         checks.append((",".join(before), F.concat_ws(",", a, b), "date_order", late))
+    return checks
+
+
+def check_rows(
+    df: DataFrame, file: str, row: str, rules: Sequence[Rule], before: tuple[str, str] | None = None
+) -> DataFrame:
+    """One output row per violation, all rules in a single pass over the data.
+
+    ``before`` names two date columns of which the first must be the earlier; the pair is
+    skipped when either is missing or unreadable.
+    """
+    checks = _checks(df, rules, before)
+    if not checks:
+        nothing = [F.lit(None).cast("string").alias(c) for c in ("field", "value", "rule", "message")]
+        return df.select(F.col(file).alias("file"), F.col(row).alias("row"), *nothing).where(F.lit(False))
     # messages are computed once, in generated code; a filter before the explode would be
     # pushed below this projection and compute all of them a second time
     messages = df.select(
@@ -144,6 +155,93 @@ def classify_source(path: Column, templates: Sequence[tuple[str, str]], default:
     return out.otherwise(F.lit(default))
 
 
+def row_errors(
+    df: DataFrame, file: str, rules: Sequence[Rule], before: tuple[str, str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``file``, the columns ``keep`` and ``errors``, the number of violations, of every row."""
+    checks = _checks(df, rules, before)
+    flags = [F.when(message.isNotNull(), 1).otherwise(0) for _, _, _, message in checks]
+    return df.select(F.col(file).alias("file"), *keep, reduce(add, flags, F.lit(0)).alias("errors"))
+
+
+_COUNTS = ["files", "header_errors", "data_errors", "total_rows", "error_rows"]
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
+    rate = F.when(F.col("total_rows") > 0, F.col("error_rows") * 100.0 / F.col("total_rows")).otherwise(F.lit(0.0))
+    return counts.select(*[F.col(c).cast("bigint").alias(c) for c in _COUNTS], F.round(rate, 2).alias("error_rate"))
+
+
+def summarise(errors: DataFrame, row: str, header_problems: DataFrame) -> DataFrame:
+    """What :func:`quality_summary` tells, from the errors of every row, in one pass over the rows.
+
+    Rows of a file that share ``row`` count as one erroneous row.
+    """
+    rows = errors.groupBy("file", row).agg(F.sum("errors").alias("e"), F.count(F.lit(1)).alias("n"))
+    files = rows.groupBy("file").agg(F.sum("e").alias("e"), F.sum("n").alias("n"), F.count_if(F.col("e") > 0).alias("bad"))
+    of = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    data = files.agg(F.count("file").alias("files"), of("e").alias("data_errors"), of("n").alias("total_rows"), of("bad").alias("error_rows"))
+    heads = header_problems.select("file").distinct().agg(F.count("file").alias("header_errors"))
+    return _with_rate(data.crossJoin(heads))  # one row each
+
+
+@dataclass(frozen=True)
+class Template:
+    """What a kind of ledger must look like: its headers, its row rules and two dates in order."""
+
+    headers: Sequence[str]
+    rules: Sequence[Rule] = ()
+    before: tuple[str, str] | None = None
+
+
+def header_verdicts(headers: DataFrame, template: Column, templates: Mapping[str, Template]) -> DataFrame:
+    """``headers`` (file, names) with the ``template`` of each file, ``missing`` and ``extra`` names and ``accepted``.
+
+    A header is accepted if it has every name of its template and no other; unnamed columns do not count.
+    """
+    wanted = F.create_map(*[x for n, t in templates.items() for x in (F.lit(n), F.array(*[F.lit(h) for h in t.headers]))])
+    judged = headers.withColumn("template", template).withColumn("_want", wanted[F.col("template")])
+    named = F.array_remove("names", "")
+    judged = judged.withColumn("missing", F.array_except("_want", named)).withColumn("extra", F.array_except(named, F.col("_want")))
+    return judged.withColumn("accepted", (F.size("missing") == 0) & (F.size("extra") == 0)).drop("_want")
+
+
+def check_ledgers(
+    rows: DataFrame, headers: DataFrame, template: Column, templates: Mapping[str, Template],
+    lay_out: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+) -> tuple[DataFrame, DataFrame]:
+    """The report of a check run by file, and the violations of all rows of accepted files.
+
+    Row rules only run on files whose header is accepted. The report has one row per file:
+    file, template, accepted, missing, extra, rows, data_errors, error_rows (0 where rows were
+    not checked). ``rows``, ``headers`` and ``lay_out`` come from the ledger reader.
+    """
+    verdicts = header_verdicts(headers, template, templates)
+    found, counts = [], []
+    for name, wanted in templates.items():
+        good = verdicts.where(F.col("accepted") & (F.col("template") == name)).drop("template", "missing", "extra", "accepted")
+        laid = lay_out(rows, good, wanted.headers)
+        counts.append(row_errors(laid, "file", wanted.rules, wanted.before))
+        found.append(check_rows(laid, "file", "line", wanted.rules, wanted.before))
+    merged = reduce(DataFrame.unionByName, counts)
+    by_file = merged.groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("errors").alias("data_errors"), F.count_if(F.col("errors") > 0).alias("error_rows")
+    )
+    report = verdicts.select("file", "template", "accepted", "missing", "extra").join(by_file, "file", "left")
+    return report.fillna(0, ["rows", "data_errors", "error_rows"]), reduce(DataFrame.unionByName, found)
+
+
+def run_summary(report: DataFrame) -> DataFrame:
+    """A check run in one row: files, header errors, data errors, rows, erroneous rows and their share."""
+    of = lambda c, n: F.coalesce(F.sum(c), F.lit(0)).alias(n)
+    return _with_rate(
+        report.agg(
+            F.count(F.lit(1)).alias("files"), F.count_if(~F.col("accepted")).alias("header_errors"),
+            of("data_errors", "data_errors"), of("rows", "total_rows"), of("error_rows", "error_rows"),
+        )
+    )
+
+
 def quality_summary(rows: DataFrame, violations: DataFrame, header_problems: DataFrame, file: str) -> DataFrame:
     """Files, header errors, data errors, rows, rows with errors and their share."""
     def tally(df: DataFrame, **cols: Column) -> DataFrame:

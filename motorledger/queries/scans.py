@@ -78,6 +78,21 @@ def _(t: Tables):
     return ledgers.read_ledger_dir(t.spark, folder, ["buyer", "amount", "note"]).select("buyer", "amount", "note")
 
 
+@query(
+    "s7_quoted_headers",
+    """SELECT c_name || chr(10) || 'said "' || c_mktsegment || '", once' AS name, cast(c_acctbal AS varchar) AS amount, NULL AS phone FROM customer WHERE c_acctbal >= 0
+       UNION ALL SELECT c_name, NULL, c_mktsegment || ',' || c_nationkey FROM customer WHERE c_acctbal < 0""",
+)
+def _(t: Tables):
+    folder = shared_folder(t.spark, "quoted")
+    said = F.concat("c_name", F.lit('\nsaid "'), "c_mktsegment", F.lit('", once'))
+    out = lambda df, name: df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+    out(t.customer.where("c_acctbal >= 0").select(said.alias("name, full"), F.col("c_acctbal").alias("Amount\n(net)"), F.lit("").alias(" ")), "a")
+    out(t.customer.where("c_acctbal < 0").select(F.concat_ws(",", "c_mktsegment", "c_nationkey").alias('"Phone"'), F.col("c_name").alias("Name, Full ")), "b")
+    found = ledgers.read_ledger_dir(t.spark, folder, ["name, full"], width=16)
+    return found.select(F.col("`name, full`").alias("name"), F.col("`amount(net)`").alias("amount"), F.col('`"phone"`').alias("phone"))
+
+
 @query(
     "s8_ledger_sheets",
     "SELECT c_name AS buyer, c_mktsegment AS sheet FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')",

@@ -130,11 +130,11 @@ def _(t: Tables):
 
 @query(
     "k7_stored_latest_record",
-    """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN ts < '2024-01-16' THEN 1 ELSE 2 END AS batch FROM events WHERE event_type <> 'error'),
-            n AS (SELECT *, row_number() OVER (PARTITION BY user_id, batch ORDER BY at DESC, event_id) AS rn,
+    """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "at", CASE WHEN ts < '2024-01-16' THEN 1 ELSE 2 END AS batch FROM events WHERE event_type <> 'error'),
+            n AS (SELECT *, row_number() OVER (PARTITION BY user_id, batch ORDER BY "at" DESC, event_id) AS rn,
                     min(batch) OVER (PARTITION BY user_id) AS first_batch, max(batch) OVER (PARTITION BY user_id) AS last_batch FROM e),
             w AS (SELECT * FROM n WHERE rn = 1)
-       SELECT l.user_id, f.event_id AS id, 'batch ' || f.batch AS create_time, l.value, l.at
+       SELECT l.user_id, f.event_id AS id, 'batch ' || f.batch AS create_time, l.value, l."at"
        FROM w l JOIN w f ON f.user_id = l.user_id AND f.batch = f.first_batch WHERE l.batch = l.last_batch""",
 )
 def _(t: Tables):
