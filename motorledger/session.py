@@ -15,6 +15,8 @@ RUNTIME = {
     # split a skewed join side even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # of a key that an object repeats the last value counts, as with other readers of JSON
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
