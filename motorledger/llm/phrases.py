@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,11 +45,23 @@ _PREPARED = bytes(
     b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)
 )
 _TURN = 0x9E3779B97F4A7C15
-_COUNTED = "lang string, phrase string, words int, start int, n long"
+#: Odd numbers that weigh the bytes of a word by their place; longer words use them again.
+_WEIGHTS = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: A slice of texts is closed once it holds so many bytes.
+_TEXT_BYTES = 16 << 20
+#: Language and phrase as one text, parted by a line end, which no phrase holds.
+_COUNTED = "name string, words int, start int, n long"
 
 
-def _word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, 7)
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit number for each of these binary words. Words may share one: only slots depend on it."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)
+    flat = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    starts, sizes = (offsets[:-1] - offsets[0]).astype(np.int64), np.diff(offsets)
+    place = np.arange(len(flat)) - np.repeat(starts, sizes)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((flat + np.uint64(1)) * _WEIGHTS[place % len(_WEIGHTS)])])
+    mixed = sums[starts + sizes] - sums[starts] + sizes.astype(np.uint64) * np.uint64(_TURN)
+    return (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
 
 
 def _slot_of(hashes: np.ndarray, slots: int) -> np.ndarray:
@@ -65,7 +76,10 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def pieces_of(texts: Iterable[bytes | None]) -> pa.Array:
     """The lower-cased words of all texts in a row, with ``_MARK`` after each piece and text."""
     joined = b"\xff".join(t for t in texts if t).translate(_PREPARED).replace(_MARK, b" \xff ") + b" \xff"
-    return pa.array(joined.split(), pa.binary())
+    # the kernel parts at ASCII blanks, which are those that are left, and never checks the encoding
+    whole = pa.Array.from_buffers(pa.large_utf8(), 1, [None, pa.py_buffer(np.array([0, len(joined)], np.int64)), pa.py_buffer(joined)])
+    words = pc.ascii_split_whitespace(whole).flatten().view(pa.large_binary())
+    return words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary())
 
 
 class _Scan:
@@ -79,17 +93,17 @@ class _Scan:
         coded = words.dictionary_encode()
         dictionary = coded.dictionary
         codes = coded.indices.to_numpy().astype(np.int64)
-        names = dictionary.to_pylist()
-        ends = codes == names.index(_MARK)
-        hashes = np.array([_word_hash(w) for w in names], np.uint64)
+        size_of, mark = len(dictionary), pc.index(dictionary, _MARK).as_py()
+        ends = codes == mark
+        hashes = _word_hashes(dictionary)
         if self.step < self.shards:  # single words, and all of them together as a phrase of none
-            found = np.bincount(codes, minlength=len(names))
-            found[names.index(_MARK)] = 0
+            found = np.bincount(codes, minlength=size_of)
+            found[mark] = 0
             kept = np.flatnonzero(found)
             yield from self._rows(lang, dictionary.take(pa.array(kept)), 1, np.zeros(len(kept), np.int64), found[kept])
             yield from self._rows(lang, pa.array([b""]), 0, np.zeros(1, np.int64), found.sum(keepdims=True))
-        base = np.uint64(_word_hash(lang.encode()))
-        first = _joined(np.full(len(names), base), hashes)
+        base = _word_hashes(pa.array([lang.encode()], pa.binary()))
+        first = _joined(np.repeat(base, size_of), hashes)
         since = self.reached[_slot_of(first, len(self.reached))].astype(np.int64)[codes]
         since[ends] = _NEVER
         # places of phrases that have reached the threshold: their step of that, hash and number
@@ -100,7 +114,7 @@ class _Scan:
             place, chain, number = place[pair], chain[pair], number[pair]
             last = codes[place + size - 1]
             # equal phrases have equal numbers: that of all but the last word, and the last word
-            number = number * len(names) + last
+            number = number * size_of + last
             active = (start <= self.step) & (self.step < start + self.shards)
             if active.any():
                 _, at, times = np.unique(number[active], return_index=True, return_counts=True)
@@ -117,31 +131,35 @@ class _Scan:
 
     @staticmethod
     def _rows(lang: str, phrases: pa.Array, size: int, start: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        names = pc.binary_join_element_wise(pa.scalar(lang.encode(), pa.binary()), phrases, pa.scalar(b"\n", pa.binary())).cast(pa.string())
         for at in range(0, len(n), 50_000):
-            part = phrases[at : at + 50_000].cast(pa.string())
+            part = names[at : at + 50_000]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(part)), part, pa.array(np.full(len(part), size, np.int32)),
+                    part, pa.array(np.full(len(part), size, np.int32)),
                     pa.array(start[at : at + 50_000].astype(np.int32)), pa.array(n[at : at + 50_000].astype(np.int64)),
                 ],
-                ["lang", "phrase", "words", "start", "n"],
+                ["name", "words", "start", "n"],
             )
 
 
-def slots_of(lang: str, phrase: bytes, slots: int) -> int:
-    """The slot of one phrase in the table of reached phrases."""
-    value = np.full(1, _word_hash(lang.encode()), np.uint64)
-    for word in phrase.split(b" "):
-        value = _joined(value, np.full(1, _word_hash(word), np.uint64))
-    return int(_slot_of(value, slots)[0])
+def slots_of(names: pa.Array, slots: int) -> np.ndarray:
+    """The slots of phrases, named like counted rows, in the table of reached phrases."""
+    parts = pc.split_pattern(names.cast(pa.string()), "\n", max_splits=1, reverse=True)
+    value = _word_hashes(pc.list_element(parts, 0).cast(pa.binary()))
+    lists = pc.split_pattern(pc.list_element(parts, 1), " ")
+    offsets = lists.offsets.to_numpy()
+    words, sizes = _word_hashes(lists.flatten().cast(pa.binary())), np.diff(offsets)
+    for k in range(int(sizes.max(initial=0))):
+        more = sizes > k
+        value[more] = _joined(value[more], words[offsets[:-1][more] - offsets[0] + k])
+    return _slot_of(value, slots)
 
 
 def _slots_task(slots: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            phrases = batch.column(1).cast(pa.binary()).to_pylist()
-            found = [slots_of(lang, phrase, slots) for lang, phrase in zip(batch.column(0).to_pylist(), phrases)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], ["slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(slots_of(batch.column(0), slots).astype(np.int32))], ["slot"])
 
     return run
 
@@ -149,7 +167,7 @@ def _slots_task(slots: int):
 def _scan_task(reached, step: int, shards: int, longest: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = _Scan(np.frombuffer(reached.value, np.uint8), step, shards, longest)
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, most=_TEXT_BYTES):
             langs = batch.column(0).to_pylist()
             for lang in sorted(set(langs)):
                 yield from scan.count(lang, [t for t, mine in zip(texts, langs) if mine == lang])
@@ -181,7 +199,9 @@ def counted(
         mine = dealt.filter(F.col("shard") == step % shards).select("lang", "text")
         now = mine.mapInArrow(_scan_task(sent, step, shards, longest), _COUNTED).withColumn("reached", F.lit(None).cast("int"))
         both = now if state is None else now.unionByName(state)
-        sums = both.groupBy("lang", "phrase", "words", "start").agg(F.sum("n").alias("n"), F.min("reached").alias("reached"))
+        # words and start are the same in all rows of a phrase
+        alike = [F.min(c).alias(c) for c in ("words", "start", "reached")]
+        sums = both.groupBy("name").agg(F.sum("n").alias("n"), *alike)
         over = (F.col("n") >= least) | ((F.col("words") == 0) & (F.col("n") > 0))
         # what has had its cycle without reaching the threshold is done with
         sums = sums.filter(over | (F.col("start") + shards - 1 > step))
@@ -190,7 +210,7 @@ def counted(
         with noting() as folders:
             state = stored(marked, f"phrases-{step}")
         fresh = state.filter((F.col("reached") == step) & F.col("words").between(1, longest - 1))
-        found = fresh.select("lang", "phrase").mapInArrow(_slots_task(slots), "slot int").distinct()
+        found = fresh.select("name").mapInArrow(_slots_task(slots), "slot int").distinct()
         new = np.array([r[0] for r in found.toLocalIterator()], np.int64)  # `slots` rows at most
         if len(new):
             reached[new] = np.minimum(reached[new], step)
@@ -199,7 +219,10 @@ def counted(
         sent.destroy()
         step += 1
     release(spark, shard_folders)
-    return state.filter(F.col("n") >= F.when(F.col("words") == 0, 1).otherwise(least)).select("lang", "phrase", "words", "n")
+    phrase = F.substring_index("name", "\n", -1)
+    lang = F.left("name", F.length("name") - F.length(phrase) - 1)
+    whole = state.filter(F.col("n") >= F.when(F.col("words") == 0, 1).otherwise(least))
+    return stored(whole.select(lang.alias("lang"), phrase.alias("phrase"), "words", "n"), "phrase-counts")
 
 
 def _cuts(phrases: DataFrame, counts: DataFrame) -> DataFrame:
