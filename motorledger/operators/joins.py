@@ -17,13 +17,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from motorledger import values as V
+from motorledger.functions.dates import NTZ
 from motorledger.functions.nulls import zero
 from motorledger.functions.text import match_key, suffix
 from motorledger.operators.keep import latest_per_key
@@ -133,8 +138,20 @@ def attach_group(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Full outer join; the keys of both sides become one column."""
-    return left.join(right, list(on), "full")
+    """Full outer join; the keys of both sides become one column.
+
+    A left join, and the right rows that have no partner: both can be split where a key is hot, which
+    a full join cannot. Rows without a key match nothing and are spread.
+    """
+    on = list(on)
+    taken = (set(left.columns) & set(right.columns)) - set(on)
+    if taken:
+        raise ValueError(f"columns on both sides: {sorted(taken)}")
+    others = [c for c in right.columns if c not in on]
+    partners = left.where(~_no_key(on)).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]).distinct()
+    partners = partners.withColumn("_r0", _zero_of(*[f"_k{i}" for i in range(len(on))]))
+    lone = _with_spread(right, on).join(partners, _same(on, "_r0"), "left_anti").drop(_SPREAD)
+    return left_lookup(left, right, on, cols=others).select(*on, *[c for c in left.columns if c not in on], *others).unionByName(lone, allowMissingColumns=True)
 
 
 @dataclass(frozen=True)
@@ -267,40 +284,89 @@ def _year(c: Column, first: int, last: int) -> Column:
     return F.greatest(F.lit(first), F.least(F.lit(last), F.year(c)))
 
 
+def _swept(starts: Sequence[int], ends: Sequence[int], first: int, last: int) -> list[tuple[int, int | None]]:
+    """Moments at which the rule in force changes, within ``first`` to ``last``, each with the rule from then on.
+
+    Rules are given by ascending start, no two with one start; a rule holds until its end, not included.
+    A rule that ends in force gives way to the nearest earlier one with a later end; one that
+    ends while a later rule is in force changes nothing.
+    """
+    found: dict[int, int | None] = {}
+    before: list[int | None] = []
+    open_ones: list[int] = []  # the ends of these get smaller from one to the next
+    ended: list[tuple[int, int]] = []
+    for i, end in enumerate(ends):
+        while open_ones and ends[open_ones[-1]] <= end:
+            j = open_ones.pop()
+            if starts[i] >= ends[j]:
+                ended.append((ends[j], j))  # its first rival came too late
+        before.append(open_ones[-1] if open_ones else None)
+        open_ones.append(i)
+    ended += [(ends[j], j) for j in open_ones]
+    for at, j in ended:
+        if at <= last:
+            found[at] = before[j]
+    for i, start in enumerate(starts):
+        found[max(start, first)] = i
+    return list(found.items())
+
+
+def interval_spans(
+    rules: DataFrame, keys: Sequence[str], start: str, end: str, cols: Sequence[str], first_year: int = 1990, last_year: int = 2060
+) -> DataFrame:
+    """Rules with both bounds included as moments of change: ``keys``, ``_at``, ``_hit`` and ``cols``.
+
+    From ``_at`` on the latest started rule in force holds until the next moment of the key;
+    ``_hit`` is null where none is. Of rules with one start only the greatest by end and values can
+    ever hold. Each (key, year) is swept on its own, years outside the range with the edge years.
+    """
+    keys = list(keys)
+    micros = lambda c: F.unix_micros(F.col(c).cast(NTZ).cast("timestamp"))
+    best = F.max(F.struct(F.col(end).alias("_e"), F.struct(*[F.col(c) for c in cols]).alias("_v"))).alias("_best")
+    one = rules.where(~_no_key(keys) & (F.col(start) <= F.col(end))).groupBy(*keys, F.col(start).alias("_s")).agg(best)
+    years = F.sequence(_year(F.col("_s"), first_year, last_year), _year(F.col("_best._e"), first_year, last_year))
+    laid = one.select(*keys, F.explode(years).alias("_y"), "_s", F.col("_best._e").alias("_e"), F.col("_best._v").alias("_v"))
+    laid = laid.select(*keys, "_y", micros("_s").alias("_s"), (micros("_e") + 1).alias("_e"), "_v")
+    edge = lambda year: int((datetime(year, 1, 1) - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+    kind = laid.schema["_v"].dataType
+    schema = T.StructType([*[laid.schema[k] for k in keys], T.StructField("_at", T.LongType()), T.StructField("_from", T.LongType()), T.StructField("_v", kind)])
+
+    def sweep(part: pa.Table) -> pa.Table:
+        part = part.take(pc.sort_indices(part["_s"]))
+        year = part["_y"][0].as_py()
+        first = -(1 << 62) if year <= first_year else edge(year)
+        last = 1 << 62 if year >= last_year else edge(year + 1)
+        starts, ends = part["_s"].to_pylist(), part["_e"].to_pylist()
+        found = _swept(starts, ends, first, last)
+        winner = pa.array([i for _, i in found], pa.int64())
+        same = pa.array([0] * len(found), pa.int64())
+        columns = [part[k].take(same) for k in keys]
+        return pa.table([*columns, pa.array([at for at, _ in found], pa.int64()), part["_s"].take(winner), part["_v"].take(winner)], [*keys, "_at", "_from", "_v"])
+
+    moments = laid.groupBy(*keys, "_y").applyInArrow(sweep, schema)
+    # where two years meet, the rule that started last holds
+    held = moments.groupBy(*keys, "_at").agg(F.max(F.struct("_from", "_v")).alias("_h"))
+    at = F.timestamp_micros("_at").cast(NTZ).alias("_at")
+    return held.select(*keys, at, F.col("_h._from").isNotNull().alias("_hit"), *[F.col("_h._v")[c].alias(c) for c in cols])
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, start: str, end: str,
-    cols: Sequence[str], first_year: int = 1990, last_year: int = 2060, how: str = "left",
+    cols: Sequence[str], first_year: int = 1990, last_year: int = 2060, how: str = "left", bucket_days: float = 30,
 ) -> DataFrame:
     """The latest started rule that is in force, both bounds included.
 
-    Rules are laid out by the years they touch and gathered per key and year, so a fact
-    row meets one small list and never one row per rule. Facts are neither grouped nor
-    numbered. Years outside the range share the edge years, the exact bounds are checked
-    in the list. Ties on the start go to the largest remaining values. Facts without a key or
-    a time match nothing and are spread over the partitions.
+    Rules become disjoint spans of their key, and a fact takes the span it lies in by one as-of
+    pass: no list of rules and no pairs are formed, and a heavy key is split over its time
+    buckets. Ties on the start go to the greatest end, then the greatest remaining values. Facts without
+    a key or a time match nothing and are spread over the partitions.
     """
-    keys = list(keys)
-    years = F.sequence(_year(F.col(start), first_year, last_year), _year(F.col(end), first_year, last_year))
-    rule = F.struct(F.col(start).alias("_s"), F.col(end).alias("_e"), *[F.col(c) for c in cols])
-    rules = (
-        right.where(~_no_key(keys) & (F.col(start) <= F.col(end)))
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.explode(years).alias("_y"), rule.alias("_rule"))
-        .groupBy(*[f"_k{i}" for i in range(len(keys))], "_y")
-        .agg(F.collect_set("_rule").alias("_rules"))
-    )
-    rules = rules.withColumn("_r0", _zero_of("_y"))
-    facts = left.withColumn("_fy", _year(F.col(ts), first_year, last_year)).withColumn(
-        _SPREAD, F.when(_no_key(keys) | F.col(ts).isNull(), _spread_of(left, keys)).otherwise(F.lit(0).cast("bigint"))
-    )
-    joined = facts.join(rules, _same(keys, "_r0") & (F.col("_fy") == F.col("_y")), "left")
-    # the list comes from the rule side, the moment from the fact side
-    hit = F.array_max(
-        F.filter("_rules", lambda r: (r["_s"] <= F.col(ts)) & (r["_e"] >= F.col(ts)))
-    )
-    out = joined.select(*left.columns, hit.alias("_hit"))
+    spans = interval_spans(right, keys, start, end, cols, first_year, last_year)
+    timed = left.withColumn("_moment", F.col(ts).cast(NTZ))
+    out = asof_lookup(timed, spans, keys, "_moment", "_at", ["_hit", *cols], bucket_days)
     if how == "inner":
-        out = out.where(F.col("_hit").isNotNull())
-    return out.select(*left.columns, *[F.col("_hit")[c].alias(c) for c in [*cols]])
+        out = out.where(F.col("_hit"))
+    return out.select(*left.columns, *cols)
 
 
 def asof_lookup(

@@ -1,6 +1,7 @@
 """Plans that hold when one key owns a third of the rows, or none is known."""
 
 import contextlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,23 @@ def test_lookup_splits_a_hot_key(spark):
         assert {r["hot"]: (r["n"], r["m"]) for r in got.collect()}[True] == (20000, 20000)
 
 
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_outer_merge_splits_a_hot_key(spark, hot_side):
+    many = skewed(spark)
+    few = spark.range(600).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")).union(spark.sql("SELECT 'HOT', 7L UNION ALL SELECT NULL, 8L"))
+    with conf(spark, **SMALL_PARTITIONS):
+        out = joins.outer_merge(many, few, ["k"]) if hot_side == "left" else joins.outer_merge(few, many, ["k"])
+        got = out.agg(F.count(F.lit(1)), F.count("v"), F.count_if(F.col("k").isNull()), F.count("id")).first()
+        out.write.format("noop").mode("overwrite").save()
+        keyed = many.where("k is not null").count()
+        alone = 60000 - keyed
+        # keys no row of the large side has, and the keyless rows of both sides
+        lone = few.join(many.select("k").distinct(), "k", "left_anti").where("k is not null").count()
+        assert tuple(got) == (60000 + lone + 1, keyed + lone + 1, alone + 1, 60000)
+        out.collect()
+        assert "skew=true" in plan(out)
+
+
 def test_star_join_splits_a_hot_key(spark):
     side = spark.range(500).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")).union(spark.sql("SELECT 'HOT', 7L"))
     with conf(spark, **SMALL_PARTITIONS):
@@ -122,3 +140,29 @@ def test_no_pairwise_join(spark, name):
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(QUERIES[name].run(spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_many_rules_of_one_key(spark):
+    """Spans of 200,000 overlapping rules of one key, against a plain sweep with a heap."""
+    import heapq
+
+    turn = random.Random(2)
+    size = 200_000
+    starts = turn.sample(range(40 * 365 * 86_400), size)
+    rules = [(s, s + turn.choice([0, 60, 3600, 86_400, 40 * 86_400])) for s in starts]
+    moment = lambda c: F.timestamp_seconds(F.col(c)).cast("timestamp_ntz")
+    right = spark.createDataFrame(rules, "a bigint, b bigint").select(F.lit("k").alias("k"), moment("a").alias("s"), moment("b").alias("e"), F.col("a").alias("n"))
+    asked = sorted(turn.sample(range(41 * 365 * 86_400), 3000))
+    left = spark.createDataFrame([(t,) for t in asked], "t bigint").select(F.lit("k").alias("k"), moment("t").alias("ts"), "t")
+    got = {r["t"]: r["n"] for r in joins.interval_join(left, right, ["k"], "ts", "s", "e", ["n"]).collect()}
+    ahead, heap, want = sorted(rules), [], {}
+    at = 0
+    for t in asked:
+        while at < size and ahead[at][0] <= t:
+            heapq.heappush(heap, (-ahead[at][0], ahead[at][1]))
+            at += 1
+        while heap and heap[0][1] < t:
+            heapq.heappop(heap)
+        want[t] = -heap[0][0] if heap else None
+    assert got == want
+    assert sum(n is None for n in want.values()) < 3000
