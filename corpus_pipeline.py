@@ -1,7 +1,13 @@
 """From raw documents to packed sequences: five stages, each a whole-table job of one operator.
 
-A stage's result is written before the next stage starts, so a stage begins by deleting the
-intermediate tables of the one before it, and no others.
+Every stage judges each row on its own: rows with a null or repeated id count like others, and
+repeated rows have one fate in all stages but near duplicates, where one of them stays. A null
+text counts as empty. Extra columns, whatever their names, are kept as they are. An empty table
+gives an empty table.
+
+:func:`run` deletes the intermediate tables of a stage once its result is written, and each result
+once the next one is. Stages that are called one by one write their results between calls: a
+stage then begins by deleting the intermediate tables of the last call of the stage before it.
 """
 
 from __future__ import annotations
@@ -16,17 +22,18 @@ from motorledger.llm import decontaminate, packing, quality_model, quality_rules
 from motorledger.llm.common import id_remainder, noting, numbered, prepared, release, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Intermediate tables of the stage that ran last.
-_last: list[str] = []
+#: Intermediate tables of the last call of each stage, while stages are called one by one.
+_left: dict[str, list[str]] = {}
 
 
 def _stage(build: Stage) -> Stage:
     @wraps(build)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(prepared(spark), _last)
+        at = [f.__name__ for _, f in STAGES].index(build.__name__)
+        release(prepared(spark), _left.pop(STAGES[at - 1][1].__name__, []) if at else [])
         with noting() as folders:
             found = build(spark, docs, sf_dir)
-        _last.extend(folders)
+        _left[build.__name__] = folders
         return found
 
     return run_stage
@@ -34,7 +41,7 @@ def _stage(build: Stage) -> Stage:
 
 @_stage
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that the quality rules accept."""
+    """Keep the documents that the quality rules accept. A null or unknown language is compared with all of them."""
     rows = docs.select(F.struct("*").alias("row"), "lang", "text")
     return quality_rules.accepted(rows, quality_rules.references(docs)).select("row.*")
 
@@ -90,8 +97,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table; every result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole documents table; every result is written and read again.
+
+    The tables of one run are its own: several runs in one process do not touch each other's.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with noting() as used:
+            found = stage.__wrapped__(spark, docs, sf_dir)
+        with noting() as written:
+            docs = stored(found, name)
+        release(spark, used)
+        release(spark, before)
+        before = written
+    return STAGES[-1][1].__wrapped__(spark, docs, sf_dir)

@@ -139,13 +139,13 @@ def _shifted(lists: dict[str, np.ndarray], words: tuple[str, ...]) -> np.ndarray
 
 
 def _close(lists: dict[str, np.ndarray], words: tuple[str, ...], slop: int, document: np.ndarray) -> np.ndarray | None:
-    """Positions of the rarest word that have every other word within ``slop`` words in the same document."""
-    found = [lists.get(w) for w in set(words)]
-    if any(have is None for have in found):
+    """Positions of the longest word that have every other word within ``slop`` words in the same document."""
+    middle = max(set(words), key=lambda w: (len(w), w))
+    spots = lists.get(middle)
+    found = [lists.get(w) for w in set(words) if w != middle]
+    if spots is None or any(have is None for have in found):
         return None
-    found.sort(key=len)
-    spots = found[0]
-    for have in found[1:]:
+    for have in sorted(found, key=len):
         after = np.searchsorted(have, spots)
         right, left = have[np.minimum(after, len(have) - 1)], have[np.maximum(after - 1, 0)]
         near = lambda other: (np.abs(other - spots) <= slop) & (document[other] == document[spots])
@@ -234,7 +234,7 @@ def find_windows(
 
     Exact matches give ``starts`` and ``ends`` (word spans, united, end exclusive) and ``items``.
     With ``proximity``, ``near`` lists the items of windows whose words all stand within that many
-    words of the rarest one. Windows of a null item mark words but name no item. Windows are
+    words of an occurrence of the longest one (of equals, the last in order). Windows of a null item mark words but name no item. Windows are
     looked up in blocks of about ``block_bytes``, so only a block is ever sent to the tasks.
     """
     wanted = stored(wanted, "windows")

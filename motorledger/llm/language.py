@@ -240,12 +240,14 @@ def _count_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, usable: Column, rows: int = TRAINING_ROWS) -> LanguageModel:
     """Fit on the documents for which ``usable`` holds and ``lang`` is known, ``rows`` at most.
 
-    Ties of the id hash are broken by id; a table without labelled rows gives a model without languages.
+    Ties of the id hash are broken by id; of the rows of a repeated id the least by language and text is
+    used. A table without labelled rows gives a model without languages.
     """
     known = docs.select("doc_id", F.col("lang").cast("string").alias("lang")).filter(usable & F.col("lang").isNotNull())
     chosen = F.broadcast(known.withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id", "lang").limit(rows).select("doc_id").distinct())
     pairs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter("lang IS NOT NULL")
-    mine = stored(pairs.join(chosen, "doc_id", "left_semi").select("lang", "text"), "language-rows")
+    least = pairs.join(chosen, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row"))
+    mine = stored(least.select("row.lang", "row.text"), "language-rows")
     parts = mine.repartition(8).mapInArrow(_count_task, "lang string, grams binary, scripts array<double>").collect()  # 8 rows per language
     grams: dict[str, np.ndarray] = {}
     scripts: dict[str, np.ndarray] = {}
@@ -265,7 +267,9 @@ def identified(docs: DataFrame, model: LanguageModel, penalty: float = SWITCH) -
     """Every row with a column ``q``: ``lang_pred``, the language of most letters, and its share ``score``.
 
     Null texts and texts without a letter, and all texts of a model without languages, are ``und`` with score 0.
+    A repeated row is judged twice with one result; a column of ``docs`` named ``q`` is replaced.
     """
+    docs = docs.drop("q")
 
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(model, penalty)

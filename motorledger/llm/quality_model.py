@@ -24,6 +24,8 @@ BINS = 1 << 17
 _MARKS = 32  # bins in front of the hashed ones
 #: The classifier is fitted on at most so many labelled rows, those with the least hash of their id.
 TRAINING_ROWS = 4000
+#: And on so many features of these rows in all, 4 bytes each.
+TRAINING_FEATURES = 1 << 26
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -153,16 +155,22 @@ def _feature_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, rows: int = TRAINING_ROWS) -> QualityModel:
     """Fit on the labelled documents for which ``usable`` (over ``doc_id``) holds, ``rows`` at most.
 
-    A document labelled more than once counts with its lowest label; null labels and ids are not used.
+    A document labelled more than once counts with its lowest label, one that occurs more than once with
+    its least text, so the model does not depend on how the tables are laid out. Null labels and ids
+    are not used. Rows are taken by the hash of their id until they hold ``TRAINING_FEATURES`` features.
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).dropna()
     if usable is not None:
         known = known.filter(usable)
     known = known.groupBy("doc_id").agg(F.min("label").alias("label")).withColumn("rank", F.xxhash64("doc_id"))
     chosen = F.broadcast(known.orderBy("rank", "doc_id").limit(rows))  # at most `rows` short rows
-    pairs = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    pairs = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    pairs = pairs.groupBy("doc_id", "rank", "label").agg(F.min("text").alias("text"))
     found = stored(pairs.select("rank", "label", "text").mapInArrow(_feature_task, "rank long, label int, row array<int>"), "quality-features")
-    collected = found.orderBy("rank").toArrow()  # bounded by `rows`
+    sizes = found.select("rank", F.size("row").alias("n")).orderBy("rank").collect()  # `rows` short rows
+    within = np.cumsum([r["n"] for r in sizes]) <= TRAINING_FEATURES
+    last = sizes[int(within.sum()) - 1]["rank"] if within.any() else None
+    collected = found.filter(F.col("rank") <= F.lit(last)).orderBy("rank", "label").toArrow()  # bounded by `rows` and features
     lists = collected.column("row").combine_chunks()
     stops, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     feature_rows = [flat[a:b] for a, b in zip(stops[:-1], stops[1:])]
@@ -181,7 +189,11 @@ def score_with(model: QualityModel) -> Callable[[Column], Column]:
 
 
 def classified(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """Every row with a column ``q`` of ``score`` and ``predicted``; null and empty texts score the bias."""
+    """Every row with a column ``q`` of ``score`` and ``predicted``; null and empty texts score the bias.
+
+    A repeated row is scored twice with one result; a column of ``docs`` named ``q`` is replaced.
+    """
+    docs = docs.drop("q")
     score = score_with(model)(F.col("text").cast("string"))
     rows = docs.select(F.struct("*").alias("doc"), score.alias("score"))
     return rows.select("doc.*", F.struct("score", (F.col("score") >= threshold).cast("int").alias("predicted")).alias("q"))

@@ -20,8 +20,14 @@ MAX_REPEAT_PERCENT = 50
 #: Largest distance from the language's character classes, and from its common words.
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.42
-#: Texts with fewer words are not compared by words: too few of them are common ones.
-MIN_WORDS_COMPARED = 50
+#: A text may differ from its language's common words by this, and by so many times what chance
+#: alone makes of a text of its length.
+WORD_DRIFT = 0.12
+CHANCE_FACTOR = 1.2
+#: It is not compared by words unless chance would leave it without any common word less often than this.
+SILENT_CHANCE = 1e-4
+#: And it is rejected if it comes so near to the distance of a text without any common word.
+SILENT_SHARE = 0.98
 COMMON_WORDS = 12
 #: A language with a smaller share of all words has no reference of its own, which bounds their number.
 REFERENCE_SHARE = 0.001
@@ -138,6 +144,23 @@ def _distance(own: Column, ref: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), total))
 
 
+def _whole(values: Column | str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda x, y: x + y)
+
+
+def _rest(values: Column) -> Column:
+    """Shares with the share of everything else behind them."""
+    return F.concat(values, F.array(1 - _whole(values)))
+
+
+def _with_silence(reference: DataFrame) -> DataFrame:
+    """References with the distance of a text without common words, ``silent``, and the least length to tell."""
+    known = F.transform("common", lambda x: x["n"] / F.col("total"))
+    none = F.concat(F.transform("common", lambda x: F.lit(0.0)), F.array(F.lit(1.0)))
+    missed = F.lit(math.log(SILENT_CHANCE)) / F.nullif(F.log(F.greatest(F.lit(1e-300), 1 - _whole(known))), F.lit(0.0))
+    return reference.withColumn("silent", _distance(none, _rest(known))).withColumn("least_words", F.greatest(F.lit(float(MIN_WORDS)), missed))
+
+
 def judged(
     docs: DataFrame, reference: DataFrame | None = None, words: int = COMMON_WORDS,
     class_limit: float = MAX_CLASS_DISTANCE, word_limit: float = MAX_WORD_DISTANCE,
@@ -147,10 +170,15 @@ def judged(
     A text is rejected by the base rules if it has fewer than ``MIN_WORDS`` words or more than half
     of its words lie in repeated 3-word windows; by the method if a distance is above its limit.
     Documents whose language is null or has no reference are compared with the pooled one. A
-    repeated row is judged twice with one result. ``docs`` must not have a column ``q``.
+    repeated row is judged twice with one result; a column of ``docs`` named ``q`` is replaced.
+
+    The word limit of a text is the least of ``word_limit``, of what drift and chance explain at its
+    length, and of almost the distance that no common word at all makes in its language. A text
+    too short for its language's common words to be missed is not compared by words.
     """
+    docs = docs.drop("q")
     reference = reference if reference is not None else references(docs, words)
-    few = reference.withColumnRenamed("lang", "ref_lang")
+    few = _with_silence(reference.withColumnRenamed("lang", "ref_lang"))
     known_rows = few.select("ref_lang", "common.word").collect()  # at most 1 / REFERENCE_SHARE + 1 rows
     listed = [r["ref_lang"] for r in known_rows]
     rows = measured(docs, sorted({w for r in known_rows for w in r["word"]}))
@@ -162,24 +190,28 @@ def judged(
     expected = F.array(*[F.col(f"ref_{c}") for c in _CLASSES])
     hits = [F.coalesce(F.size("words") - F.size(F.array_remove("words", F.get("common", F.lit(i))["word"])), F.lit(0)) for i in range(words)]
     known_words = F.transform("common", lambda x: x["n"] / F.col("total"))
-    rows = rows.select("doc", "q", "n", classes.alias("classes"), expected.alias("expected"), F.array(*hits).alias("hits"), known_words.alias("known"))
-    whole = lambda values: F.aggregate(values, F.lit(0.0), lambda x, y: x + y)
+    bounds = ["silent", "least_words"]
+    rows = rows.select("doc", "q", "n", *bounds, classes.alias("classes"), expected.alias("expected"), F.array(*hits).alias("hits"), known_words.alias("known"))
     shares = lambda values, total: F.transform(values, lambda x: x / F.greatest(total, F.lit(1.0)))
-    rest = lambda values: F.concat(values, F.array(1 - whole(values)))
     rows = rows.select(
-        "doc", "q", "n", "expected", "known", shares(F.col("classes"), whole("classes")).alias("classes"),
+        "doc", "q", "n", *bounds, "expected", "known", shares(F.col("classes"), _whole("classes")).alias("classes"),
         shares(F.slice("hits", F.lit(1), F.size("known")), F.col("n").cast("double")).alias("hits"),
     )
     class_distance = _distance(F.col("classes"), F.col("expected"))
-    word_distance = F.when(F.col("n") >= MIN_WORDS_COMPARED, _distance(rest(F.col("hits")), rest(F.col("known"))))
-    rows = rows.select("doc", "q", "n", class_distance.alias("class_distance"), word_distance.alias("word_distance"))
+    word_distance = F.when(F.col("n") >= F.col("least_words"), _distance(_rest(F.col("hits")), _rest(F.col("known"))))
+    chance = F.sqrt((F.size("known") + 1) / (8 * math.log(2) * F.col("n")))
+    limit = F.least(F.lit(word_limit), WORD_DRIFT + CHANCE_FACTOR * chance, SILENT_SHARE * F.col("silent"))
+    rows = rows.select(
+        "doc", "q", "n", class_distance.alias("class_distance"), word_distance.alias("word_distance"),
+        F.when(F.col("n") >= F.col("least_words"), limit).alias("word_limit"),
+    )
     failed = (F.col("n") < MIN_WORDS) | (100 * F.col("q.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n"))
-    passed = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= class_limit) & (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= word_limit)
+    passed = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= class_limit) & F.coalesce(F.col("word_distance") <= F.col("word_limit"), F.lit(True))
     counts = [F.col(f"q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return rows.select(
         "doc.*",
         F.struct(
-            *counts, "class_distance", "word_distance", failed.alias("base_failed"), (~failed & passed).alias("kept")
+            *counts, "class_distance", "word_distance", "word_limit", failed.alias("base_failed"), (~failed & passed).alias("kept")
         ).alias("q"),
     )
 

@@ -22,6 +22,19 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: How far the words of a benchmark window may stand from its longest word to count as near it.
+PROXIMITY = 2 * decontaminate.WINDOW_WORDS
+
+
+def decontamination_proximity(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact and proximity matches of all documents: reordered or interrupted windows count as near."""
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), proximity=PROXIMITY)
+    near = F.array_sort("near")
+    return found.select(
+        "doc_id", "n_hit", F.size("near").cast("long").alias("n_near"), F.sha2(F.array_join(near, ","), 256).alias("near_sha256"),
+    )
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
@@ -218,6 +231,7 @@ SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON t
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "decontamination_proximity": decontamination_proximity,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
     "op4_quality_classifier": op4_quality_classifier,

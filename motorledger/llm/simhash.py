@@ -1,8 +1,8 @@
 """SimHash near-duplicates found through deletion-variant signatures.
 
-A fingerprint of 64 bits is cut into ``distance // 2 + 1`` segments. Two fingerprints that
-differ in at most ``distance`` bits have a segment that differs in at most one bit. Each
-segment is indexed once per bit with that bit left out, so such a pair shares a key: the
+A fingerprint of 64 bits is cut into so few segments that two fingerprints that differ in at
+most ``distance`` bits differ in at most one bit of some segment, or of some choice of a few of
+them. Each is indexed once per bit with that bit left out, so such a pair shares a key: the
 candidates come from an equality join, and every candidate is verified on all 64 bits.
 
 Only distinct fingerprints are indexed and joined; copies are members of their fingerprint.
@@ -11,6 +11,7 @@ Only distinct fingerprints are indexed and joined; copies are members of their f
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -65,43 +66,75 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", width: int = SHINGLE_WORD
     return pairs.mapInArrow(_fingerprinter(width), "key long, bits long")
 
 
-def segments(distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """(first bit, number of bits) of each segment, lowest bits first."""
-    count = distance // 2 + 1
+def cut_for(count: int, distance: int = DISTANCE) -> tuple[int, int]:
+    """(segments, segments used in a key) that suit so many fingerprints.
+
+    Any cut finds the same pairs. Longer keys cost more index rows a fingerprint and leave fewer
+    candidates, whose number grows with the square of the fingerprints: with 4 bits, 64 rows of
+    21 bits, 260 rows of 25, or 640 rows of 31.
+    """
+    if count < 1 << 23 or distance < 2:
+        return distance // 2 + 1, 1
+    return (distance + 1, 2) if count < 1 << 27 else (distance + 2, 3)
+
+
+def segments(count: int) -> list[int]:
+    """The bits of each of ``count`` segments as a mask, lowest bits first."""
     sizes = [BITS // count + (i < BITS % count) for i in range(count)]
-    return [(sum(sizes[:i]), size) for i, size in enumerate(sizes)]
+    return [((1 << size) - 1) << sum(sizes[:i]) for i, size in enumerate(sizes)]
+
+
+def keys_of(distance: int, cut: tuple[int, int]) -> list[int]:
+    """The bits of every key: all choices of the segments used. Two fingerprints that differ in at
+    most ``distance`` bits differ in at most one bit of some key."""
+    count, used = cut
+    # the bits spread evenly leave most to the segments with least: these must hold one at most
+    even = sorted(distance // count + (i < distance % count) for i in range(count))
+    if sum(even[:used]) > 1:
+        raise ValueError(f"{used} of {count} segments may differ in more than one of {distance} bits")
+    return [sum(chosen) for chosen in combinations(segments(count), used)]
 
 
 def _signed(value: int) -> int:
     return value - (1 << BITS) if value >= 1 << (BITS - 1) else value
 
 
-def _variants(bits: Column, distance: int) -> Column:
-    """All one-wildcard segment variants as structs of the bit left out and the remaining bits."""
+def _bits_of(mask: int) -> list[int]:
+    return [bit for bit in range(BITS) if mask >> bit & 1]
+
+
+def _variants(bits: Column, keys: list[int]) -> Column:
+    """All one-wildcard variants of every key as structs of key and bit left out, and the remaining bits."""
     out = []
-    for first, size in segments(distance):
-        mask = ((1 << size) - 1) << first
-        for bit in range(first, first + size):
-            out.append(
-                F.struct(F.lit(bit).alias("bit"), bits.bitwiseAND(F.lit(_signed(mask & ~(1 << bit)))).alias("rest"))
-            )
+    for number, mask in enumerate(keys):
+        for bit in _bits_of(mask):
+            rest = bits.bitwiseAND(F.lit(_signed(mask & ~(1 << bit))))
+            out.append(F.struct(F.lit(number * BITS + bit).alias("bit"), rest.alias("rest")))
     return F.array(*out)
 
 
-def _first_shared(distance: int) -> Column:
-    """True for the one key at which a pair is reported, however many keys it shares."""
+def _first_shared(keys: list[int]) -> Column:
+    """True for the one index row at which a pair is reported, however many it shares."""
     differ = F.expr("a.bits ^ b.bits")
     found = F.lit(False)
-    for first, size in reversed(segments(distance)):
-        part = differ.bitwiseAND(F.lit(_signed(((1 << size) - 1) << first)))
-        here = (part == F.expr("shiftleft(1L, a.bit)")) | ((part == 0) & (F.col("a.bit") == first))
+    for number, mask in reversed(list(enumerate(keys))):
+        part = differ.bitwiseAND(F.lit(_signed(mask)))
+        mine = F.col("a.bit") - number * BITS
+        here = (mine >= 0) & (mine < BITS) & (
+            ((part != 0) & (part == F.expr(f"shiftleft(1L, cast(pmod(a.bit, {BITS}) as int))"))) | ((part == 0) & (mine == _bits_of(mask)[0]))
+        )
         found = F.when(F.bit_count(part) <= 1, here).otherwise(found)
     return found
 
 
-def near_pairs(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs ``low``, ``high`` of different ``bits`` that differ in at most ``distance`` bits, each once."""
-    index = distinct.select("bits", F.explode(_variants(F.col("bits"), distance)).alias("v")).select(
+def near_pairs(distinct: DataFrame, distance: int = DISTANCE, cut: tuple[int, int] | None = None) -> DataFrame:
+    """Pairs ``low``, ``high`` of different ``bits`` that differ in at most ``distance`` bits, each once.
+
+    ``cut`` says into how many segments fingerprints are cut and how many of them make a key; by
+    default it follows the number of fingerprints. The pairs are the same for every cut.
+    """
+    keys = keys_of(distance, cut or cut_for(distinct.count(), distance))
+    index = distinct.select("bits", F.explode(_variants(F.col("bits"), keys)).alias("v")).select(
         "bits", "v.bit", "v.rest"
     )
     # a fingerprint has one row per bit here, which size estimates do not see: never broadcast
@@ -114,14 +147,14 @@ def near_pairs(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
             & (F.col("a.rest") == F.col("b.rest"))
             & (F.col("a.bits") < F.col("b.bits"))
             & (F.bit_count(F.expr("a.bits ^ b.bits")) <= distance)
-            & _first_shared(distance),
+            & _first_shared(keys),
         )
         .select(F.col("a.bits").alias("low"), F.col("b.bits").alias("high"))
     )
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", width: int = SHINGLE_WORDS, distance: int = DISTANCE
+    docs: DataFrame, key: str = "doc_id", width: int = SHINGLE_WORDS, distance: int = DISTANCE, cut: tuple[int, int] | None = None
 ) -> DataFrame:
     """One row per input row: ``key``, ``bits`` and ``component``, the least key reachable over links.
 
@@ -131,7 +164,7 @@ def near_duplicates(
     """
     found = stored(fingerprints(docs, key, width), "fingerprints")
     classes = stored(found.groupBy("bits").agg(F.min("key").alias("least")), "classes")
-    roots = components(stored(near_pairs(classes.select("bits"), distance), "near-pairs"))
+    roots = components(stored(near_pairs(classes.select("bits"), distance, cut), "near-pairs"))
     joined = classes.join(roots, classes.bits == roots.node, "left").select(
         "bits", F.coalesce("root", "bits").alias("root"), "least"
     )

@@ -197,7 +197,10 @@ def _tree_column(path: str):
 
 
 def with_trees(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Every row with a column ``tree``, to be stored beside the text; a null text has an empty tree."""
+    """Every row with a column ``tree``, to be stored beside the text; a null text has an empty tree.
+
+    A column of that name is replaced; a repeated row gets its tree twice; an empty table stays empty.
+    """
     return docs.withColumn("tree", _tree_column(path or tokenizer_path())(F.col("text").cast("string")))
 
 
@@ -235,6 +238,8 @@ def edited_counts(trees: DataFrame, edits: Column, path: str | None = None, keep
     after the edits in front of it. Null edits, and edits without a place, change nothing; a null
     ``new`` deletes; places outside the text are moved to its ends. ``q`` has ``n_before`` and ``n_after``
     tokens, ``n_edits`` applied, ``n_reread`` characters looked at again, ``n_chars``, the new ``tree`` and text.
+    A repeated row is edited twice with one result; a column of ``trees`` named ``q`` is replaced.
     """
     done = _edit_column(path or tokenizer_path(), keep_text)(F.col("text").cast("string"), F.col("tree"), edits)
-    return trees.select(F.struct("*").alias("doc"), done.alias("q")).select("doc.*", "q")
+    rows = trees.select(F.struct("*").alias("doc"), done.alias("q"))
+    return rows.select(*[F.col("doc").getField(c).alias(c) for c in trees.columns if c.lower() != "q"], "q")

@@ -158,7 +158,9 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataF
     """Every row of ``pages`` with a column ``q``: host, path, rule, evidence (null where a rule decides), verdict.
 
     A null URL, or one without ``://``, has an empty host and path, no rule, and is judged by its characters.
+    A repeated row is judged twice with one result; a column of ``pages`` named ``q`` is replaced.
     """
+    pages = pages.drop("q")
     url = F.col("url").cast("string")
     rows = pages.select(F.struct("*").alias("page"), F.coalesce(url, F.lit("")).alias("url"), url_host(url).alias("host"), url_path(url).alias("path"))
     name, says = rule_of(F.col("host"), F.col("path"), rules)
