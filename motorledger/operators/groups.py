@@ -6,10 +6,14 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motorledger.functions.nulls import ColumnLike, as_col, contains
+from motorledger.session import written
+
+#: Characters of one part of a joined text.
+PART_CHARS = 1 << 20
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -90,6 +94,49 @@ def join_all(df: DataFrame, keys: Sequence[str], col: str, name: str, sep: str =
     return group_items(df, keys, F.col(col).cast("string"), name, sep=sep)
 
 
+def joined_parts(
+    df: DataFrame, keys: Sequence[str], item: ColumnLike, name: str, sep: str = ",", distinct_items: bool = False, limit: int = PART_CHARS
+) -> DataFrame:
+    """The item texts of each key, in item order, as numbered parts: ``keys``, ``part`` from 0, and the text.
+
+    The parts of a key, joined by ``sep`` in order, are the text that :func:`join_all` (or, with
+    ``distinct_items``, :func:`join_distinct`) gives. A part holds the items that start in its ``limit``
+    characters, so it has less than twice as many unless one item is longer. A key without known items has no part.
+
+    No key is gathered anywhere: counted items are laid out by range, each range is numbered on its
+    own, and a range learns where it starts in its key from the sizes of the ranges before it.
+    Equal items beyond a part's size are dealt to several rows.
+    """
+    keys = list(keys)
+    known = keyed(df, keys).select(*keys, as_col(item).cast("string").alias("_item")).where(F.col("_item").isNotNull())
+    copies = F.lit(1).cast("bigint") if distinct_items else F.count(F.lit(1))
+    size = F.length("_item") + len(sep)
+    most = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(limit) / F.greatest(size, F.lit(1))))
+    counted = known.groupBy(*keys, "_item").agg(copies.alias("_n")).withColumn("_most", most)
+    runs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.col("_most")))).alias("_run")
+    dealt = counted.select(*keys, "_item", "_n", "_most", runs)
+    dealt = dealt.select(*keys, "_item", "_run", F.least("_most", F.col("_n") - F.col("_run") * F.col("_most")).alias("_copies"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = dealt.repartitionByRange(ranges, *keys, "_item", "_run").withColumn("_range", F.spark_partition_id())
+    # written, so that both uses below see the same ranges
+    laid = written(ranged.withColumn("_size", F.col("_copies") * size), "text-ranges")
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = laid.groupBy(*keys, "_range").agg(F.sum("_size").alias("_sum"))
+    starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(*keys, "_range").orderBy("_item", "_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = laid.withColumn("_end", F.sum("_size").over(within)).join(starts, [*keys, "_range"])
+    slot = F.floor((F.col("_start") + F.col("_end") - F.col("_size")) / F.greatest(F.lit(limit), F.lit(1))).alias("_slot")
+    repeated = lambda x: F.concat(F.repeat(F.concat(x["_item"], F.lit(sep)), x["_copies"].cast("int") - 1), x["_item"])
+    listed = F.sort_array(F.collect_list(F.struct("_item", "_run", "_copies")))
+    text = F.array_join(F.transform(listed, repeated), sep).alias(name)
+    slots = placed.select(*keys, slot, "_item", "_run", "_copies")
+    found = slots.groupBy(*keys, "_slot").agg(text)
+    # long items leave slots empty: the slots alone, without their texts, are counted per key
+    number = (F.row_number().over(Window.partitionBy(*keys).orderBy("_slot")).cast("bigint") - 1).alias("part")
+    numbers = slots.select(*keys, "_slot").distinct().select(*keys, "_slot", number)
+    return found.join(numbers, [*keys, "_slot"]).select(*keys, "part", name)
+
+
 def distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
 

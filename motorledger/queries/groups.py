@@ -45,6 +45,26 @@ def _(t: Tables):
     return groups.join_all(t.decoration, ["vin"], "item", "items")
 
 
+def _parts_sql(copies: str, limit: int) -> str:
+    """Parts of the items of a seller, by a running size over the whole seller."""
+    return f"""WITH c AS (SELECT seller, item, {copies} AS n, greatest(1, {limit} // (length(item) + 1)) AS most FROM {{decoration}}
+                          WHERE seller IS NOT NULL AND item IS NOT NULL GROUP BY seller, item),
+            r AS (SELECT seller, item, run, least(most, n - run * most) AS k FROM (SELECT *, unnest(range(0, (n - 1) // most + 1)) AS run FROM c)),
+            p AS (SELECT *, (sum(k * (length(item) + 1)) OVER (PARTITION BY seller ORDER BY item, run) - k * (length(item) + 1)) // {limit} AS slot FROM r),
+            t AS (SELECT seller, slot, string_agg(repeat(item || ',', CAST(k - 1 AS INT)) || item, ',' ORDER BY item, run) AS items FROM p GROUP BY seller, slot)
+       SELECT seller, row_number() OVER (PARTITION BY seller ORDER BY slot) - 1 AS part, items FROM t"""
+
+
+@query("a5_joined_parts", _parts_sql("count(*)", 500))
+def _(t: Tables):
+    return groups.joined_parts(t.decoration, ["seller"], "item", "items", limit=500)
+
+
+@query("a3_joined_parts", _parts_sql("CAST(1 AS BIGINT)", 200))
+def _(t: Tables):
+    return groups.joined_parts(t.decoration, ["seller"], "item", "items", distinct_items=True, limit=200)
+
+
 @query(
     "a6_join_items",
     """SELECT order_no, string_agg(concat(item, '*', cast(cast(qty AS bigint) AS string)), ',' ORDER BY concat(item, '*', cast(cast(qty AS bigint) AS string))) AS items

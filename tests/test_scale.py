@@ -166,3 +166,32 @@ def test_many_rules_of_one_key(spark):
         want[t] = -heap[0][0] if heap else None
     assert got == want
     assert sum(n is None for n in want.values()) < 3000
+
+
+def test_one_key_with_all_rows_becomes_many_parts(spark):
+    df = spark.range(0, 40_000, 1, 16).select(F.lit("HOT").alias("k"), F.concat(F.lit("item "), F.col("id") % 9_000).alias("item"), (F.col("id") % 7 == 0).alias("same"))
+    df = df.withColumn("item", F.when(F.col("same"), F.lit("the same")).otherwise(F.col("item")))
+    with conf(spark, **SMALL_PARTITIONS):
+        out = groups.joined_parts(df, ["k"], "item", "text", limit=3000)
+        parts = out.orderBy("part").collect()
+        placed = out.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    whole = groups.join_all(df, ["k"], "item", "text").first()["text"]
+    assert ",".join(r["text"] for r in parts) == whole
+    assert [r["part"] for r in parts] == list(range(len(parts))) and len(parts) > 100
+    assert max(len(r["text"]) for r in parts) <= 6000
+    assert placed > 4
+
+
+def test_parts_of_long_items_nulls_and_odd_separators(spark):
+    rows = [("a", "x" * 50), ("a", "y"), ("a", "y"), ("a", None), ("b", None), (None, "z"), ("c", ""), ("c", "")] + [("a", "w" * 30)] * 5
+    df = spark.createDataFrame(rows, "k string, i string")
+    for sep, limit in ((",", 20), ("", 7), (" | ", 1), (",", 1000)):
+        got = groups.joined_parts(df, ["k"], "i", "t", sep, limit=limit).orderBy("k", "part").collect()
+        want = {r["k"]: r["t"] for r in groups.join_all(df, ["k"], "i", "t", sep).collect()}
+        for k in ("a", "c"):
+            assert sep.join(r["t"] for r in got if r["k"] == k) == want[k]
+            assert [r["part"] for r in got if r["k"] == k] == list(range(sum(r["k"] == k for r in got)))
+        assert {r["k"] for r in got} == {"a", "c"}
+    once = groups.joined_parts(df, ["k"], "i", "t", distinct_items=True).collect()
+    assert {r["k"]: r["t"] for r in once} == {"a": ",".join(["w" * 30, "x" * 50, "y"]), "c": ""}
+    assert groups.joined_parts(df.limit(0), ["k"], "i", "t").count() == 0
