@@ -15,13 +15,17 @@ _DAY_MICROS = 86_400_000_000
 
 # --- fixed values: other shapes in which the ledgers' dates are accepted, and their ISO order
 _SHAPES = [
+    (r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"),
     (r"^(\d{4})(\d{2})(\d{2})( .*)?$", "$1-$2-$3$4"),
     (r"^(\d{4})\.(\d{1,2})\.(\d{1,2})( .*)?$", "$1-$2-$3$4"),
     (r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4})( .*)?$", "$3-$1-$2$4"),
     (r"^(\d{1,2})/(\d{1,2})/(\d{4})( .*)?$", "$3-$2-$1$4"),
+    (r"^(0?[1-9]|1[0-2])-(\d{1,2})-(\d{4})( .*)?$", "$3-$1-$2$4"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})( .*)?$", "$3-$2-$1$4"),
 ]
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _NAMED = r"^(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.? +(\d{1,2}),? +(\d{4})( .*)?$"
+_DAY_FIRST = r"^(?i)(\d{1,2})[ -](jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?,?[ -](\d{4})( .*)?$"
 
 
 def when_at(text: str) -> Column:
@@ -48,11 +52,10 @@ def parse_ts(c: ColumnLike) -> Column:
     iso = F.when(text.rlike(r"^\d{4}([-/年]|$)"), _to_iso(text))
     for shape, order in _SHAPES:
         iso = iso.when(text.rlike(shape), F.regexp_replace(text, shape, order))
-    place = F.instr(F.lit(_MONTHS), F.lower(F.left(text, F.lit(3))))
-    month = F.floor((place + 2) / 3).cast("string")
-    named = F.concat(F.regexp_replace(text, _NAMED, "$3-"), month, F.regexp_replace(text, _NAMED, "-$2$4"))
-    iso = iso.when(text.rlike(_NAMED), named)
-    return iso.try_cast(NTZ)
+    month = lambda name: F.floor((F.instr(F.lit(_MONTHS), F.lower(name)) + 2) / 3).cast("string")
+    named = F.concat(F.regexp_replace(text, _NAMED, "$3-"), month(F.left(text, F.lit(3))), F.regexp_replace(text, _NAMED, "-$2$4"))
+    day_first = F.concat(F.regexp_replace(text, _DAY_FIRST, "$3-"), month(F.regexp_extract(text, _DAY_FIRST, 2)), F.regexp_replace(text, _DAY_FIRST, "-$1$4"))
+    return iso.when(text.rlike(_NAMED), named).when(text.rlike(_DAY_FIRST), day_first).try_cast(NTZ)
 
 
 def parse_cn_date(c: ColumnLike) -> Column:

@@ -5,9 +5,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from motorledger import values as V
 from motorledger.operators.rows import prefer_rows
 from motorledger.plans import accessories, app, costs, dashboard, film, finance, orders, products, sales, scores, stock
-from motorledger.queries.registry import Tables, query
+from motorledger.queries.registry import QUERIES, Tables, query
 from motorledger.queries.shapes import monthly_wide
 from motorledger.session import shared_folder, written
 from motorledger.sources.ledgers import read_ledger_dir
@@ -324,6 +325,20 @@ def _(t: Tables):
     return parts[0].unionByName(parts[1]).distinct()
 
 
+@query(
+    "m12_accessories_document",
+    QUERIES["m1_paid_accessories"].sql.replace("WHERE NOT gift AND (seller IS NULL OR seller NOT IN ('S7'))", "WHERE NOT gift").replace(
+        "SELECT * REPLACE (round(revenue, 2) AS revenue), round(revenue - cost, 2) AS profit FROM grouped",
+        "SELECT vin, seller, CASE WHEN contains(store, '直播基地') THEN '直播基地' ELSE store END AS store, first_receipt, items FROM grouped WHERE first_receipt >= '1998/01/01'",
+    ),
+)
+def _(t: Tables):
+    paid = accessories.paid(decoration_lines(t))
+    final = t.sales.withColumn("unit_profit", F.lit(0.0))
+    _, sold, _ = sales.export_tables(final, paid, ["team", "store"], ["unit_profit"], CUT)
+    return sold.select("vin", "seller", "store", "first_receipt", "items")
+
+
 # -- dashboards: the same table plays archive and current, cut at one day ----------------
 
 
@@ -508,6 +523,16 @@ def _(t: Tables):
     return day_texts(costs.marketing_by_store(costs.marketing(t.sql(MARKETING), ALIAS)), "month")
 
 
+@query(
+    "m15_category_by_rule_date",
+    f"""WITH r AS ({MARKETING}) SELECT CASE WHEN strptime(replace(replace(year_month, '年', '-'), '月', '-1'), '%Y-%m-%d') < '{{day}}' THEN category ELSE subcategory END AS item,
+           sum(cast(coalesce(total_amount, amount) AS double)) AS amount, count(*) AS lines FROM r GROUP BY 1""".replace("{day}", "1999-06-15"),
+)
+def _(t: Tables):
+    found = costs.marketing(t.sql(MARKETING), ALIAS, RULE_DAY)
+    return found.groupBy("item").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("lines"))
+
+
 @query(
     "m15_salary_by_store",
     """SELECT strftime(last_day(DATE '1899-12-30' + cast(44927 + o_orderkey % 365 AS int)), '%Y-%m-%d') AS month, concat('NATION_', cast(o_custkey % 25 AS string)) AS store,
@@ -617,11 +642,26 @@ PROTECTED = """
              UNION ALL SELECT vin, series, store, sale_date, invoice_date, coalesce(invoice_date, sale_date), NULL FROM book)"""
 
 
-def protection_of(t: Tables) -> DataFrame:
-    sold = products.protection_sales(protection_docs(t), t.terminal_vins, {})
+def protection_of(t: Tables, rule_date: str = V.TERMINAL_RULE_DATE) -> DataFrame:
+    sold = products.protection_sales(protection_docs(t), t.terminal_vins, {}, rule_date=rule_date)
     book = t.protection_docs.where("department = '售后'").withColumnRenamed("product_sale_date", "sale_date")
     ledger = products.protection_ledger(book, ["vin", "series", "sale_date", "invoice_date", "buyer", "store"], {})
-    return products.protection(sold, ledger, t.series_dim, ALIAS)
+    return products.protection(sold, ledger, t.series_dim, ALIAS, rule_date)
+
+
+#: A rule date inside the given data, so that both sides of it have rows.
+RULE_DAY = "1999-06-15"
+RULED = PROTECTED.replace("2026-03-01", RULE_DAY)
+
+
+@query(
+    "m20_protection_by_rule_date",
+    f"""WITH {RULED} SELECT DISTINCT vin, strftime(sale_date, '%Y-%m-%d') AS sale_day, profit,
+           CASE WHEN sale_date > '{RULE_DAY}' THEN '是' ELSE '否' END AS after_rule_date FROM prot""",
+)
+def _(t: Tables):
+    out = protection_of(t, RULE_DAY).withColumn("sale_day", F.date_format("sale_date", DAY))
+    return out.select("vin", "sale_day", "profit", "after_rule_date").distinct()
 
 
 @query(
@@ -677,6 +717,17 @@ def _(t: Tables):
     return out.select("vin", "store", "insurer", "protected", "rule_label", "city").distinct()
 
 
+@query(
+    "m22_labels_by_rule_date",
+    f"""WITH {POLICIES.replace("2026-03-01", RULE_DAY)} SELECT DISTINCT vin, strftime(policy_date, '%Y-%m-%d') AS day, insurer, CASE WHEN CASE WHEN policy_date < '{RULE_DAY}' THEN vin IN (SELECT vin FROM bad)
+           ELSE vin IN (SELECT host FROM {{deals}}) AND vin NOT IN (SELECT vin FROM {{terminal_vins}}) END THEN '不符合' ELSE '符合' END AS rule_label FROM flagged""",
+)
+def _(t: Tables):
+    approvals = t.deals.select(F.col("host").alias("vin"))
+    out = products.insurance_labels(policies_of(t), protection_of(t, RULE_DAY), approvals, t.terminal_vins, ["营运"], rule_date=RULE_DAY)
+    return out.select("vin", F.date_format("date", DAY).alias("day"), "insurer", "rule_label").distinct()
+
+
 @query("m22_insurance_kept", f"WITH {POLICIES} SELECT vin, store, insurer, protected FROM flagged WHERE vin NOT IN (SELECT vin FROM bad)")
 def _(t: Tables):
     out = products.insurance_labels(

@@ -79,7 +79,7 @@ SERVICE_DIVISOR, SERVICE_RATE = 1.06, 0.06
 GUIZHOU_PROMO = 200.0
 CASH_AND_CARRY_DEPOSIT = 3000.0
 GIFT_COMMISSION_CUT = 200.0
-MONEY_WORDS = ["amount", "profit", "fee", "price", "cost", "rebate", "subsidy"]
+MONEY_WORDS = ["amount", "profit", "fee", "price", "cost", "rebate", "subsidy", "gross"]
 
 # --- bands and classes ---------------------------------------------------------
 PRICE_EDGES = [0, 100000, 150000, 200000, 250000, 300000, 350000]
