@@ -1,7 +1,8 @@
-"""Time the headline queries and print one JSON line."""
+"""Time the headline queries, and their SQL in DuckDB on the same cores, and print one JSON line."""
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
@@ -23,6 +24,26 @@ HEADLINE = [
 ]
 
 
+def duckdb_times(folder: str, cores: str, names: list[str]) -> dict[str, float]:
+    """Seconds of the equivalent statements in single-node DuckDB; empty where it is not installed."""
+    try:
+        import duckdb
+    except ImportError:
+        return {}
+    con = duckdb.connect(config={"threads": int(cores)} if cores.isdigit() else {})
+    for path in sorted(glob.glob(f"{folder}/*.parquet")):
+        name = os.path.basename(path).removesuffix(".parquet")
+        source = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{source}')")
+    times = {}
+    for name in names:
+        if QUERIES[name].sql is not None:
+            began = time.time()
+            con.execute(f"CREATE OR REPLACE TEMP TABLE result AS {QUERIES[name].sql}")
+            times[name] = round(time.time() - began, 3)
+    return times
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -34,16 +55,18 @@ def main() -> None:
         began = time.time()
         QUERIES[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - began, 3)
+    spark.stop()
+    single = duckdb_times(folder, cores, wanted)
     scale = re.search(r"sf([\d.]+)", folder)
     print(
         json.dumps(
             {
                 "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
                 "queries": times, "sf": float(scale.group(1)) if scale else None,
+                "duckdb_total": round(sum(single.values()), 3), "duckdb": single,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
