@@ -231,3 +231,64 @@ def test_stages_with_odd_rows(spark, tmp_path):
         if name == "quality_rules":
             assert {(r["doc_id"], r["q"], r["row_id"]) for r in out.collect()} <= {(r[0], r[4], r[5]) for r in rows} and out.filter("text IS NULL OR text = ''").count() == 0
     assert cp.run(spark, str(tmp_path)).count() >= 0
+
+
+def plain_evidence(counts, url):
+    """Log likelihood per character, one character and order at a time; ``counts`` are by order and hash."""
+    total, data = 0.0, [*url, 10]
+    for at, byte in enumerate(data):
+        context, p = 0, 1 / 256
+        for order in range(url_filter.ORDERS):
+            if order:
+                context = (context * 0x01000193 + (data[at - order] if at >= order else 1) + 7) % 2**32
+            mixed = (context * 0x85EBCA6B + order) % 2**32
+            cell = (((mixed ^ (byte * 0xC2B2AE35 % 2**32)) * 0x9E3779B1) % 2**32) >> 16
+            if isinstance(counts, list):  # counting
+                counts[order][0][mixed >> 16] = counts[order][0].get(mixed >> 16, 0) + 1
+                counts[order][1][cell] = counts[order][1].get(cell, 0) + 1
+                continue
+            seen = counts[order][0].get(mixed >> 16, 0)
+            p = (min(counts[order][1].get(cell, 0), seen) + 2.0 * p) / (seen + 2.0)
+        total += np.log(p)
+    return total / len(data)
+
+
+def test_url_evidence_and_limit_by_brute_force(spark):
+    turn = np.random.default_rng(8)
+    word = lambda letters: "".join(turn.choice(list(letters), int(turn.integers(1, 9))))
+    rows = [(f"http://{word('abcde')}.x/{word('abc')}", "allow") for _ in range(150)] + [(f"http://{word('defgh')}.y/{word('gh9')}", "block") for _ in range(150)]
+    rows += rows[:20] + [("", "allow"), (None, "block"), ("é/ü", "block"), ("http://q", None)]
+    decided = spark.createDataFrame(rows, "url string, verdict string")
+    model = url_filter.train(decided.repartition(4))
+    apart = {r[0] for r in decided.filter("pmod(xxhash64(url), 5) = 0").select("url").collect()}
+    tables = {}
+    for verdict in ("allow", "block"):
+        tables[verdict] = [({}, {}) for _ in range(url_filter.ORDERS)]
+        for url, says in rows:
+            if says == verdict and url is not None and url not in apart:
+                plain_evidence(tables[verdict], url.encode())
+    counted = {v: tuple(t) for v, t in tables.items()}
+    urls = [u for u, _ in rows if u is not None]
+    want = [plain_evidence(counted["allow"], u.encode()) - plain_evidence(counted["block"], u.encode()) for u in urls]
+    assert np.allclose(model.evidence([u.encode() for u in urls]), want, atol=1e-5)
+    known = [(e, v) for e, u in zip(want, urls) for x, v in rows if x == u and u in apart and v][: 10**6]
+    errors = lambda limit: sum(e < limit for e, v in known if v == "allow") / sum(v == "allow" for _, v in known) + sum(
+        e >= limit for e, v in known if v == "block"
+    ) / sum(v == "block" for _, v in known)
+    assert errors(model.limit) <= min(errors(x) for x in np.linspace(-4, 4, 161)) + 0.1
+
+
+def test_language_scores_by_brute_force(spark):
+    rows = [(i, ("the house " if i % 2 else "дом и сад ") * 3, "en" if i % 2 else "ru") for i in range(20)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    words = [b"the", b"house", "дом".encode(), b"12", "—".encode()]
+    bins, owner = language._grams(words)
+    scores = np.zeros((len(words), 2))
+    for b, w in zip(bins, owner):
+        scores[w] += model.logs[b] / language.GRAMS
+    scores -= scores.max(1, keepdims=True)
+    got = model.word_scores(words)
+    assert model.languages == ["en", "ru"]
+    # Latin words are English, Cyrillic ones Russian, by script alone; a sign says nothing
+    assert got[0, 1] == got[1, 1] == language._FAR and got[2, 0] == language._FAR and (got[4] == 0).all()
+    assert np.allclose([got[0, 0], got[1, 0], got[2, 1]], [scores[0, 0], scores[1, 0], scores[2, 1]], atol=1e-5)
