@@ -6,6 +6,7 @@ import logging
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 from motorledger.functions.dates import when_at
 
 _log = logging.getLogger(__name__)
+#: Values of a list from which on it is no longer written into the plan.
+LISTED = 1000
 
 
 def scan_table(
@@ -37,11 +40,16 @@ def scan_since(
 def scan_in(df: DataFrame, wanted: Mapping[str, Iterable]) -> DataFrame:
     """Rows whose columns are in the given lists; values are brought to the column's type first.
 
-    The lists are the caller's own, and stay in the plan, so they reach the scan at any length.
+    Short lists stay in the plan and reach the scan; from ``LISTED`` values on a list is a table
+    that the rows are joined with, by the same values. Null matches nothing.
     """
     for name, values in wanted.items():
-        kind = df.schema[name].dataType
-        df = df.where(F.col(name).isin(*[F.lit(v).cast(kind) for v in dict.fromkeys(values)]))
+        kind, values = df.schema[name].dataType, list(dict.fromkeys(values))
+        if len(values) < LISTED:
+            df = df.where(F.col(name).isin(*[F.lit(v).cast(kind) for v in values]))
+            continue
+        listed = df.sparkSession.createDataFrame(pa.table({"_v": pa.array(values)})).select(F.col("_v").cast(kind).alias("_v")).distinct()
+        df = df.join(listed, F.col(name) == F.col("_v"), "left_semi")
     return df
 
 

@@ -101,3 +101,15 @@ def test_more_date_forms_again(spark):
 def test_gross_is_wide_money(spark):
     out = conform_money(spark.createDataFrame([(250_000_000.0, 1.0)], "gross double, rate double"))
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["decimal(18,2)", "decimal(10,2)"] and out.count() == 1
+
+
+def test_a_long_list_is_a_table(spark):
+    from motorledger.sources.tables import scan_in
+
+    df = spark.range(300_000).withColumn("day", F.lit("2025-01-05").cast("timestamp_ntz"))
+    for values in (range(100_000), [str(i) for i in range(100_000)], [None, *range(100_000)], [*range(100_000)] * 2):
+        found = scan_in(df, {"id": values})
+        assert found.count() == 100_000 and found.columns == df.columns
+        assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 5000
+    days = [datetime(2025, 1, 5, 0, 0, i % 60, i) for i in range(2000)]
+    assert scan_in(df.limit(10), {"day": days}).count() == 10
