@@ -314,11 +314,12 @@ def _swept(starts: Sequence[int], ends: Sequence[int], first: int, last: int) ->
 def interval_spans(
     rules: DataFrame, keys: Sequence[str], start: str, end: str, cols: Sequence[str], first_year: int = 1990, last_year: int = 2060
 ) -> DataFrame:
-    """Rules with both bounds included as moments of change: ``keys``, ``_at``, ``_hit`` and ``cols``.
+    """Rules with both bounds included as disjoint spans: ``keys``, year ``_y``, ``_at``, ``_until`` and ``_v``.
 
-    From ``_at`` on the latest started rule in force holds until the next moment of the key;
-    ``_hit`` is null where none is. Of rules with one start only the greatest by end and values can
-    ever hold. Each (key, year) is swept on its own, years outside the range with the edge years.
+    From ``_at`` until ``_until`` (in microseconds, not included) the latest started rule in force
+    is the one whose ``cols`` are in ``_v``. Of rules with one start only the greatest by end and
+    values can ever hold. Each (key, year) is swept on its own and has spans of its own, years
+    outside the range with the edge years.
     """
     keys = list(keys)
     micros = lambda c: F.unix_micros(F.col(c).cast(NTZ).cast("timestamp"))
@@ -328,45 +329,47 @@ def interval_spans(
     laid = one.select(*keys, F.explode(years).alias("_y"), "_s", F.col("_best._e").alias("_e"), F.col("_best._v").alias("_v"))
     laid = laid.select(*keys, "_y", micros("_s").alias("_s"), (micros("_e") + 1).alias("_e"), "_v")
     edge = lambda year: int((datetime(year, 1, 1) - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
-    kind = laid.schema["_v"].dataType
-    schema = T.StructType([*[laid.schema[k] for k in keys], T.StructField("_at", T.LongType()), T.StructField("_from", T.LongType()), T.StructField("_v", kind)])
+    bounds = [T.StructField(c, T.LongType()) for c in ("_at", "_until")]
+    schema = T.StructType([*[laid.schema[k] for k in keys], laid.schema["_y"], *bounds, laid.schema["_v"]])
 
     def sweep(part: pa.Table) -> pa.Table:
         part = part.take(pc.sort_indices(part["_s"]))
         year = part["_y"][0].as_py()
         first = -(1 << 62) if year <= first_year else edge(year)
         last = 1 << 62 if year >= last_year else edge(year + 1)
-        starts, ends = part["_s"].to_pylist(), part["_e"].to_pylist()
-        found = _swept(starts, ends, first, last)
-        winner = pa.array([i for _, i in found], pa.int64())
-        same = pa.array([0] * len(found), pa.int64())
-        columns = [part[k].take(same) for k in keys]
-        return pa.table([*columns, pa.array([at for at, _ in found], pa.int64()), part["_s"].take(winner), part["_v"].take(winner)], [*keys, "_at", "_from", "_v"])
+        found = sorted(_swept(part["_s"].to_pylist(), part["_e"].to_pylist(), first, last), key=lambda m: m[0])
+        spans = [(i, at, until) for (at, i), (until, _) in zip(found, [*found[1:], (last, None)]) if i is not None and at < until]
+        winner, at, until = (pa.array([s[k] for s in spans], pa.int64()) for k in range(3))
+        same = [part[c].take(winner) for c in [*keys, "_y"]]
+        return pa.table([*same, at, until, part["_v"].take(winner)], [*keys, "_y", "_at", "_until", "_v"])
 
-    moments = laid.groupBy(*keys, "_y").applyInArrow(sweep, schema)
-    # where two years meet, the rule that started last holds
-    held = moments.groupBy(*keys, "_at").agg(F.max(F.struct("_from", "_v")).alias("_h"))
-    at = F.timestamp_micros("_at").cast(NTZ).alias("_at")
-    return held.select(*keys, at, F.col("_h._from").isNotNull().alias("_hit"), *[F.col("_h._v")[c].alias(c) for c in cols])
+    return laid.groupBy(*keys, "_y").applyInArrow(sweep, schema)
 
 
 def interval_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, start: str, end: str,
-    cols: Sequence[str], first_year: int = 1990, last_year: int = 2060, how: str = "left", bucket_days: float = 30,
+    cols: Sequence[str], first_year: int = 1990, last_year: int = 2060, how: str = "left",
 ) -> DataFrame:
     """The latest started rule that is in force, both bounds included.
 
-    Rules become disjoint spans of their key, and a fact takes the span it lies in by one as-of
-    pass: no list of rules and no pairs are formed, and a heavy key is split over its time
-    buckets. Ties on the start go to the greatest end, then the greatest remaining values. Facts without
-    a key or a time match nothing and are spread over the partitions.
+    Rules become disjoint spans of their key and year, so a fact has one partner at most: a join
+    on key and year with the span's bounds gathers no rules and makes no pairs, and can be split
+    where a key is hot. Years outside the range share the edge years, the bounds are exact.
+    Ties on the start go to the greatest end, then the greatest remaining values. Facts
+    without a key or a time match nothing and are spread over the partitions.
     """
+    keys = list(keys)
     spans = interval_spans(right, keys, start, end, cols, first_year, last_year)
-    timed = left.withColumn("_moment", F.col(ts).cast(NTZ))
-    out = asof_lookup(timed, spans, keys, "_moment", "_at", ["_hit", *cols], bucket_days)
+    side = spans.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_y", "_at", "_until", F.col("_v").alias("_hit"), _zero_of("_y").alias("_r0"))
+    moment = F.unix_micros(F.col(ts).cast(NTZ).cast("timestamp"))
+    facts = left.withColumns({"_fy": _year(F.col(ts), first_year, last_year), "_moment": moment}).withColumn(
+        _SPREAD, F.when(_no_key(keys) | F.col(ts).isNull(), _spread_of(left, keys)).otherwise(F.lit(0).cast("bigint"))
+    )
+    inside = (F.col("_moment") >= F.col("_at")) & (F.col("_moment") < F.col("_until"))
+    out = facts.join(side, _same(keys, "_r0") & (F.col("_fy") == F.col("_y")) & inside, "left")
     if how == "inner":
-        out = out.where(F.col("_hit"))
-    return out.select(*left.columns, *cols)
+        out = out.where(F.col("_hit").isNotNull())
+    return out.select(*left.columns, *[F.col("_hit")[c].alias(c) for c in cols])
 
 
 def asof_lookup(
