@@ -38,6 +38,19 @@ def test_no_column_is_lost_in_silence(spark, tmp_path):
         ledgers.read_ledger_dir(spark, path, width=3).collect()
 
 
+def test_rows_hold_no_cells_that_a_file_lacks(spark, rows, tmp_path):
+    """A row is as wide as it is written, whatever the width that is allowed for."""
+    path = write(tmp_path, a="id,x\n1,\n2,b,\n3,,c\n4\n")
+    found = ledgers.ledger_rows(spark, path, line_breaks=True)
+    assert rows(found, "cells") == [(["1"],), (["2", "b"],), (["3", None, "c"],), (["4"],), (["id", "x"],)]
+
+
+def test_a_folder_is_parsed_once(spark, tmp_path):
+    path = write(tmp_path, a="id,x\n1,a\n", b="x,id\nb,2\n")
+    plan = ledgers.read_ledger_dir(spark, path, width=4)._jdf.queryExecution().executedPlan().toString()
+    assert "csv" not in plan.lower().replace(".csv", "") and "parquet" in plan.lower()
+
+
 def test_large_plain_files_are_read_by_several_tasks(spark, tmp_path):
     path = write(tmp_path, a="id,x\n" + "".join(f"{i},v{i}\n" for i in range(3000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
