@@ -144,8 +144,9 @@ def check_rows(
 
 def classify_source(path: Column, templates: Sequence[tuple[str, str]], default: str, own_files: Sequence[str] = (), own: str | None = None) -> Column:
     """Template name by words in the folder part of a path; some files by their name."""
-    folder = F.regexp_replace(path, r"[^/\\]*$", "")
-    name = F.regexp_extract(path, r"([^/\\]*)$", 1)
+    # anchored at the start: a search for the last part tries every place of a long path
+    folder = F.regexp_extract(path, r"(?s)^.*[/\\]", 0)
+    name = F.regexp_extract(path, r"(?s)^(?:.*[/\\])?(.*)$", 1)
     out = None
     for word, template in templates:
         label = F.lit(template)

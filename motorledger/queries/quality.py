@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from motorledger.operators import deletes, quality
 from motorledger.queries.registry import Tables, query
-from motorledger.session import shared_folder
+from motorledger.session import shared_folder, written
 from motorledger.sources import ledgers
 
 
@@ -107,8 +107,9 @@ def _check_run(t: Tables):
     drifted.write.option("header", True).partitionBy("file").csv(f"{folder}/film/bad")
     templates = {"film": quality.Template(_LEDGER_HEADERS, RULES), "other": quality.Template(["x"])}
     template = quality.classify_source(F.col("file"), [("/film/", "film")], "other")
-    rows = ledgers.ledger_rows(t.spark, folder, width=16)
-    return quality.check_ledgers(rows, ledgers.ledger_headers(t.spark, folder, width=16), template, templates, ledgers.laid_out)
+    rows = written(ledgers.ledger_rows(t.spark, folder, width=16), "check-rows")
+    headers = written(ledgers.headers_of(rows, width=16), "check-headers")
+    return quality.check_ledgers(rows, headers, template, templates, ledgers.laid_out)
 
 
 def _ledger_name():

@@ -1,5 +1,7 @@
 """Ledger files as they come: quoted, broken, blank, repeated and missing headers; the check run."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +98,17 @@ def test_check_run_skips_the_rows_of_files_with_wrong_headers(spark, rows, tmp_p
     assert tuple(total) == (5, 2, 5, 6, 3, 50.0)
 
 
+def test_paths_are_sorted_in_time_that_grows_with_their_length(spark):
+    long = "a" * 30000
+    paths = ["/film/x.csv", "film", "C:\\film\\own.csv", f"{long}/film/own.csv", f"{long}/film", "/film/a\nb", None]
+    df = spark.createDataFrame([(p,) for p in paths * 4], "path string")
+    template = quality.classify_source(F.col("path"), [("film", "film")], "film", ["own.csv", "a\nb"], "own")
+    start = time.monotonic()
+    got = [r[0] for r in df.select(template).collect()]
+    assert got[:7] == ["film", "film", "own", "own", "film", "own", "film"]
+    assert time.monotonic() - start < 6
+
+
 def test_one_pass_summary_is_the_old_one(spark):
     df = spark.createDataFrame([("f", 1, "13"), ("f", 1, "2"), ("f", 2, None), ("g", 1, "1"), (None, 1, "x")], "file string, row int, month string")
     rules = [quality.month_rule("month")]
