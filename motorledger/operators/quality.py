@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from motorledger.functions.dates import parse_ts
 from motorledger.functions.nulls import as_col
+from motorledger.session import written
 
 
 @dataclass(frozen=True)
@@ -217,7 +218,8 @@ def check_ledgers(
     file, template, accepted, missing, extra, rows, data_errors, error_rows (0 where rows were
     not checked). ``rows``, ``headers`` and ``lay_out`` come from the ledger reader.
     """
-    verdicts = header_verdicts(headers, template, templates)
+    # written: conditions on the template would be moved to the rows, and read all of them for each template
+    verdicts = written(header_verdicts(headers, template, templates), "header-verdicts")
     found, counts = [], []
     for name, wanted in templates.items():
         good = verdicts.where(F.col("accepted") & (F.col("template") == name)).drop("template", "missing", "extra", "accepted")
