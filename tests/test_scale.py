@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from motorledger import values as V
 from motorledger.operators import groups, joins, keep
+from motorledger.plans import sales
 from motorledger.queries import QUERIES
 from motorledger.queries.registry import Tables
 
@@ -195,3 +197,36 @@ def test_parts_of_long_items_nulls_and_odd_separators(spark):
     once = groups.joined_parts(df, ["k"], "i", "t", distinct_items=True).collect()
     assert {r["k"]: r["t"] for r in once} == {"a": ",".join(["w" * 30, "x" * 50, "y"]), "c": ""}
     assert groups.joined_parts(df.limit(0), ["k"], "i", "t").count() == 0
+
+
+def _final_parts(spark):
+    """Two sales (one twice, one that knows no more than a pseudo sale), pseudo sales and a transfer."""
+    many = ", ".join(f"c{i} double" for i in range(30))
+    known, lost = tuple(float(i) for i in range(30)), (None,) * 30
+    day = "timestamp_ntz'1998-05-06 00:00:00'"
+    sold = spark.createDataFrame([("V1", "A", "s", "t", 1.0, *known)] * 2 + [(V.USED_CAR, "B", V.USED_CAR, V.USED_CAR, 7.0, *lost)], f"vin string, store string, series string, team string, unit_profit double, {many}")
+    sold = sold.withColumns({"sale_date": F.expr(day), "used_rebate": F.lit(None).cast("double")})
+    used = spark.createDataFrame([(V.USED_CAR, "B", V.USED_CAR, V.USED_CAR, 7.0)] * 3 + [(V.USED_CAR, "B", V.USED_CAR, V.USED_CAR, 8.0)], "vin string, store string, series string, team string, unit_profit double")
+    used = used.withColumns({"receipt_date": F.expr(day), "used_rebate": F.lit("7")})
+    moved = spark.createDataFrame([("V1", "C", "调拨车", "其他", 3.0)], "vin string, store string, series string, team string, unit_profit double").withColumn("sale_date", F.expr(day))
+    return sold, used, moved
+
+
+def test_final_sales_group_pseudo_sales_as_short_rows(spark):
+    """Most rows of the final table are pseudo sales; the columns only sales know are one record in the groups."""
+    sold, used, moved = _final_parts(spark)
+    out = sales.sales_final(sold, used, moved)
+    assert out.count() == out.distinct().count() == 5
+    aggregates = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in line]
+    assert len(aggregates) == 1 and "c29" not in aggregates[0].split("], [")[0]
+    some = sales.sales_final(sold, used, moved, columns=["store", "vin"])
+    assert sorted(some.collect()) == [("A", "V1"), ("B", V.USED_CAR), ("C", "V1")]
+
+
+def test_sparse_distinct_gives_the_rows_of_distinct(spark):
+    rows = [(a, b, c) for a in (None, 1) for b in (None, "x", "y") for c in (None, 0.0, -0.0, float("nan"))] * 2
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    for shared in ([], ["a"], ["a", "b"], ["c"], ["a", "b", "c"]):
+        got = keep.distinct_sparse(df, shared)
+        assert got.columns == df.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.distinct().collect()))
