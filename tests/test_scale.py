@@ -230,3 +230,15 @@ def test_sparse_distinct_gives_the_rows_of_distinct(spark):
         got = keep.distinct_sparse(df, shared)
         assert got.columns == df.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, df.distinct().collect()))
+
+
+def test_exported_sales_compare_only_pseudo_sales_as_a_whole(spark):
+    """An ordinary sale is the last of its key anyway: its rows are not grouped by every column before."""
+    sold, used, moved = _final_parts(spark)
+    final = sales.sales_final(sold, used, moved).unionByName(sales.sales_final(sold, used, moved))
+    paid = spark.createDataFrame([], "store string, first_receipt string")
+    shown, _, _ = sales.export_tables(final, paid, ["team", "store"], ["unit_profit"], "1998-01-01")
+    assert sorted((r["vin"], r["store"], r["unit_profit"]) for r in shown.collect()) == [("V1", "A", 1.0), ("V1", "C", 3.0), (V.USED_CAR, "B", 7.0), (V.USED_CAR, "B", 7.0), (V.USED_CAR, "B", 8.0)]
+    direct, _, _ = sales.export_tables(sold.withColumn("receipt_date", F.col("sale_date")), paid, ["team", "store"], ["unit_profit"], "1998-01-01")
+    below = direct._jdf.queryExecution().optimizedPlan().toString().split("Window [")[1:]
+    assert len(below) == 1 and "Aggregate" not in below[0]
