@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -96,6 +97,13 @@ def slices(
         yield pa.concat_batches(held), kept
 
 
+def give_back() -> None:
+    """Return the freed memory of this worker to the machine; an idle worker would keep the peak of its tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc alone
+        trim(0)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a column ``row_id`` that is unique per row.
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorledger.llm.common import noting, release, slices, stored
+from motorledger.llm.common import give_back, noting, release, slices, stored
 
 #: Shards of the texts, so steps of a cycle.
 SHARDS = 4
@@ -48,7 +48,7 @@ _TURN = 0x9E3779B97F4A7C15
 #: Odd numbers that weigh the bytes of a word by their place; longer words use them again.
 _WEIGHTS = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A slice of texts is closed once it holds so many bytes.
-_TEXT_BYTES = 16 << 20
+_TEXT_BYTES = 4 << 20
 #: Language and phrase as one text, parted by a line end, which no phrase holds.
 _COUNTED = "name string, words int, start int, n long"
 
@@ -171,6 +171,7 @@ def _scan_task(reached, step: int, shards: int, longest: int):
             langs = batch.column(0).to_pylist()
             for lang in sorted(set(langs)):
                 yield from scan.count(lang, [t for t, mine in zip(texts, langs) if mine == lang])
+        give_back()
 
     return run
 
@@ -211,7 +212,7 @@ def counted(
             state = stored(marked, f"phrases-{step}")
         fresh = state.filter((F.col("reached") == step) & F.col("words").between(1, longest - 1))
         found = fresh.select("name").mapInArrow(_slots_task(slots), "slot int").distinct()
-        new = np.array([r[0] for r in found.toLocalIterator()], np.int64)  # `slots` rows at most
+        new = found.toArrow().column(0).to_numpy().astype(np.int64)  # `slots` rows at most, by one job
         if len(new):
             reached[new] = np.minimum(reached[new], step)
             last = step

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from motorledger.llm import phrases
@@ -73,3 +74,31 @@ def test_exact_scores_beyond_64_bits(spark):
 
 def test_no_texts(spark):
     assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+
+
+def test_a_scan_holds_few_texts_at_a_time(monkeypatch):
+    held = []
+    monkeypatch.setattr(phrases._Scan, "count", lambda self, lang, texts: held.append(sum(map(len, texts))) or iter(()))
+    text = pa.array(["word " * 20_000] * 100)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 100), text], ["lang", "text"])
+    reached = type("Sent", (), {"value": b"\xff" * 16})
+    assert list(phrases._scan_task(reached, 0, 4, 4)([batch])) == []
+    assert sum(held) == 10_000_000 and max(held) <= (4 << 20) + 100_000
+
+
+def test_a_step_runs_no_job_for_each_partition(spark, rows):
+    docs = spark.createDataFrame([(lang, f"a b c d {lang}{i}") for lang in ("en", "de") for i in range(4)], "lang string, text string")
+    changed = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        spark.sparkContext.setJobGroup("phrase steps", "")
+        found = phrases.counted(docs, least=3, shards=2, slots=1 << 10)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("phrase steps"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted({r[1] for r in rows(found) if r[2] == 4}) == ["a b c d"]
+    assert jobs < 100  # at most eight steps
