@@ -26,13 +26,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorledger.llm.common import slices, stored
+from motorledger.llm.common import give_back, slices, stored
 from motorledger.llm.tokens import encoder, tokenizer_path
 
 END_ID = 2
 #: Ids of a block; it is closed with the document that reaches this number.
 BLOCK_IDS = 1 << 20
 LANES = 4096
+#: A slice of texts is tokenized once it holds so many bytes.
+_TEXT_BYTES = 4 << 20
 _HEADER = struct.Struct("<4sIIIIII")  # magic, ids, lanes, vocabulary, words, crc of words, crc of ids
 _MAGIC = b"IDB1"
 _PAIR_BITS, _SHARE_BITS, _FREQ_BITS = 17, 14, 18
@@ -56,6 +58,8 @@ class _Model:
         self.state2 = np.zeros(1 << _PAIR_BITS, np.int32)
         self.outcomes = np.tile(np.array([0.4, 0.4, 0.4]), (64, 1))
         self.counts = np.ones(vocabulary, np.float64)
+        self.shares = np.empty(vocabulary, np.float64)
+        self.freq, self.until = np.empty(vocabulary, np.uint64), np.empty(vocabulary, np.uint64)
         self.fresh: list[np.ndarray] = []  # ids not yet counted
         self.told: list[np.ndarray] = []  # classes with outcomes not yet counted
         self.last = np.zeros(lanes, np.int64)
@@ -65,21 +69,27 @@ class _Model:
 
     def _renew(self) -> None:
         if self.fresh:
-            self.counts += 24 * np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
+            met = np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
+            met *= 24
+            self.counts += met
             self.outcomes += np.bincount(np.concatenate(self.told), minlength=192).reshape(64, 3)
             self.fresh, self.told = [], []
         free = (1 << _FREQ_BITS) - len(self.counts)
-        freq = 1 + (self.counts * (free / self.counts.sum())).astype(np.int64)
+        freq = self.freq.view(np.int64)  # tables are renewed in place
+        np.copyto(freq, np.multiply(self.counts, free / self.counts.sum(), out=self.shares), casting="unsafe")
+        freq += 1
         freq[-1] += (1 << _FREQ_BITS) - int(freq.sum())  # what rounding left
-        self.freq = freq.astype(np.uint32)
-        self.until = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint32)
+        np.cumsum(self.freq, out=self.until)
+        self.until -= self.freq
         self.owner: np.ndarray | None = None
         whole = self.outcomes.sum(1, keepdims=True)
         shares = 1 + ((self.outcomes[:, :2] / whole) * ((1 << _SHARE_BITS) - 3)).astype(np.int64)
         both = shares.sum(1)
         #: by class: where order 2 and order 1 end, and the share of order 0
         self.end2, self.end1 = shares[:, 0] << _FREQ_BITS, both << _FREQ_BITS
-        self.rest = ((1 << _SHARE_BITS) - both).astype(np.uint64)
+        self.rest = (1 << _SHARE_BITS) - both
+        #: by class * 3 + outcome: a part's start, its size, and what an id's order-0 interval is scaled by
+        self.scales = np.stack([0 * both, 0 * both, self.rest], 1).reshape(-1).astype(np.uint64)
         self.starts = np.stack([0 * both, self.end2, self.end1], 1).reshape(-1).astype(np.uint64)
         self.sizes = np.stack([self.end2, self.end1 - self.end2, 0 * both], 1).reshape(-1).astype(np.uint64)
 
@@ -87,21 +97,23 @@ class _Model:
         """The id whose order-0 interval holds ``value``."""
         if self.owner is None:
             self.owner = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.freq.astype(np.int64))
-        return self.owner[value]
+        return self.owner.take(value)
 
     def look(self):
         """What is predicted for every lane: the states of both contexts, both guesses, and their class."""
-        s2, s1 = self.state2[self.slot], self.state1[self.last]
+        s2, s1 = self.state2.take(self.slot), self.state1.take(self.last)
         return s2, s1, s2 >> 3, s1 >> 3, ((s2 & 7) << 3) | (s1 & 7)
 
     def learn(self, ids: np.ndarray, told: np.ndarray, look) -> None:
         """Take in the ids of a step; ``told`` is class * 3 + outcome."""
         s2, s1, g2, g1, _ = look
-        new = ids.astype(np.int32) << 3
+        short = ids.astype(np.int32)
+        new = short << 3
         for table, spot, state, said in ((self.state2, self.slot, s2, g2), (self.state1, self.last, s1, g1)):
-            right = (said == ids).astype(np.int32)
-            mark = (right << 3) | (state & 7)
-            table[spot] = np.where(mark == 0, new, state + _SHIFT[mark])
+            mark = ((said == short).view(np.int8) << 3) | (state & 7).astype(np.int8)
+            then = state + _SHIFT.take(mark)
+            np.copyto(then, new, where=mark == 0)
+            table[spot] = then
         self.told.append(told)
         self.fresh.append(ids)
         self.slot = ((self.last * 0x9E3779B1 + ids * 0x85EBCA6B) >> 12) & ((1 << _PAIR_BITS) - 1)
@@ -113,13 +125,10 @@ class _Model:
 
 def _interval(model: _Model, ids: np.ndarray, outcome: np.ndarray, kind: np.ndarray):
     """Class with outcome (0, 1, 2 for order 2, 1, 0), and the id's start and size out of 2**32."""
-    told = kind * 3 + outcome
-    start, size = model.starts[told], model.sizes[told]
-    plain = np.flatnonzero(outcome == 2)
-    rest, one = model.rest[kind[plain]], ids[plain]
-    start[plain] += rest * model.until[one]
-    size[plain] = rest * model.freq[one]
-    return told, start, size
+    told = (kind * 3 + outcome).astype(np.intp)
+    scale = model.scales.take(told)  # 0 but for order 0
+    start = model.starts.take(told) + scale * model.until.take(ids)
+    return told, start, model.sizes.take(told) + scale * model.freq.take(ids)
 
 
 def _cut(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
@@ -143,7 +152,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     for now in dealt:
         look = model.look()
         g2, g1, kind = look[2:]
-        outcome = np.where(g2 == now, 0, 2 - (g1 == now).view(np.int8))
+        outcome = (g2 != now).view(np.int8) * (2 - (g1 == now).view(np.int8))
         told, start, size = _interval(model, now, outcome, kind)
         unit = wide >> np.uint64(32)
         low += start * unit
@@ -189,12 +198,13 @@ def decode_block(block: bytes) -> np.ndarray:
         g2, g1, kind = look[2:]
         unit = wide >> np.uint64(32)
         value = np.minimum((code - low) // unit, np.uint64((1 << 32) - 1)).astype(np.int64)
-        end1 = model.end1[kind]
-        outcome = (value >= model.end2[kind]).astype(np.int64) + (value >= end1)
-        now = np.where(outcome == 0, g2, g1).astype(np.int64)
-        plain = np.flatnonzero(outcome == 2)
-        inner = (value[plain] - end1[plain]).astype(np.uint64) // model.rest[kind[plain]]
-        now[plain] = model.holder(np.minimum(inner, np.uint64((1 << _FREQ_BITS) - 1)).astype(np.int64))
+        end1 = model.end1.take(kind)
+        beyond = value >= end1
+        outcome = (value >= model.end2.take(kind)).view(np.int8) + beyond.view(np.int8)
+        # below 2**32 by at most 2**14, whole numbers: the quotient of doubles never rounds up to the next
+        inner = (np.maximum(value - end1, 0) / model.rest.take(kind)).astype(np.int64)
+        plain = model.holder(np.minimum(inner, (1 << _FREQ_BITS) - 1))
+        now = np.where(beyond, plain, np.where(outcome == 0, g2, g1)).astype(np.int64)
         # a guess of the lower order that order 2 made as well is never coded by that order
         told, start, size = _interval(model, now, outcome, kind)
         low += start * unit
@@ -236,7 +246,7 @@ def _write_task(path: str, end_id: int, block_ids: int):
             ]
             return pa.RecordBatch.from_arrays(columns, ["part", "block", "n_ids", "doc_ids", "lengths", "payload"])
 
-        for batch, texts in slices(batches, most=4 << 20):
+        for batch, texts in slices(batches, most=_TEXT_BYTES):
             for key, ids in zip(batch.column(0).to_pylist(), encode.encode(texts)):
                 keys.append(key)
                 held.append(np.append(ids, np.uint32(end_id)))
@@ -246,6 +256,8 @@ def _write_task(path: str, end_id: int, block_ids: int):
                     keys, held, size, number = [], [], 0, number + 1
         if held:
             yield block()
+        keys, held = [], []
+        give_back()
 
     return run
 
@@ -275,6 +287,7 @@ def _read_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [repeat("part"), repeat("block"), one.column("doc_ids")[0].values, pa.array(stops - lengths), pa.array(lengths), pa.array(sums, pa.int64())],
                 ["part", "block", "doc_id", "inner", "n_tokens", "ids_crc32"],
             )
+    give_back()
 
 
 def read_ids(blocks: DataFrame) -> DataFrame:

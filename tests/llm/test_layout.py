@@ -1,13 +1,16 @@
 """Results that do not depend on layout, other runs, column names or odd rows."""
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from motorledger.llm import decontaminate, language, quality_model, quality_rules, queries, simhash, token_trees, url_filter
-from motorledger.llm.common import prepared
+from motorledger.llm import (
+    decontaminate, language, phrases, quality_model, quality_rules, queries, simhash, token_trees, tokenfiles, url_filter,
+)
+from motorledger.llm.common import give_back, prepared
 
 SF = "/root/testdata/sf0.001"
 
@@ -292,3 +295,23 @@ def test_language_scores_by_brute_force(spark):
     # Latin words are English, Cyrillic ones Russian, by script alone; a sign says nothing
     assert got[0, 1] == got[1, 1] == language._FAR and got[2, 0] == language._FAR and (got[4] == 0).all()
     assert np.allclose([got[0, 0], got[1, 0], got[2, 1]], [scores[0, 0], scores[1, 0], scores[2, 1]], atol=1e-5)
+
+
+def test_workers_give_back_the_memory_of_a_task():
+    def held():
+        return int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) >> 10
+
+    blocks = [np.ones(100_000, np.uint8) for _ in range(2000)]  # on the heap, where only its end shrinks by itself
+    last, full = np.ones(100_000, np.uint8), held()
+    del blocks
+    give_back()
+    assert held() < full - 100 and last.all()
+
+
+def test_token_and_phrase_tasks_give_back_memory(monkeypatch):
+    done = []
+    monkeypatch.setattr(tokenfiles, "give_back", lambda: done.append("read"))
+    monkeypatch.setattr(phrases, "give_back", lambda: done.append("scan"))
+    assert list(tokenfiles._read_task([])) == []
+    assert list(phrases._scan_task(type("Sent", (), {"value": b"\xff" * 16}), 0, 4, 4)([])) == []
+    assert done == ["read", "scan"]
