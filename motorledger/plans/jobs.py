@@ -65,9 +65,8 @@ def run_marts(spark: SparkSession, raw: Mapping[str, DataFrame], settings: MartS
         raw["stock"], raw["plan"], debits, series, settings.internal_companies, settings.manufacturer
     )
     homes = union_outer(raw["stock"], raw["sold"])
-    final = written(
-        sales.sales_final(profit, loose, sales.transfers(raw["transfers"], profit), booked, homes), "final"
-    )
+    moved = written(sales.transfers(raw["transfers"], profit), "transfers")
+    final = sales.sales_final(profit, loose, moved, booked, homes, keep=written)
     vehicles = profit.groupBy("vin").agg(F.min("series").alias("series"))
     sold_items = written(left_lookup(paid, vehicles, ["vin"]), "accessories")
     documents = sales.export_tables(final, sold_items, settings.export_texts, settings.export_moneys, settings.export_since)

@@ -2,6 +2,7 @@
 
 import contextlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -242,3 +243,98 @@ def test_exported_sales_compare_only_pseudo_sales_as_a_whole(spark):
     direct, _, _ = sales.export_tables(sold.withColumn("receipt_date", F.col("sale_date")), paid, ["team", "store"], ["unit_profit"], "1998-01-01")
     below = direct._jdf.queryExecution().optimizedPlan().toString().split("Window [")[1:]
     assert len(below) == 1 and "Aggregate" not in below[0]
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {b for b in blocks.split() if b.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """What a write has shuffled is deleted as it ends, and the setting is the one before; the rows can be read again."""
+    from motorledger.session import _DROP_SHUFFLES, written
+
+    df = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    before, old = _shuffle_files(spark), spark.conf.get(_DROP_SHUFFLES)
+    kept = written(df, "numbers")
+    left = _shuffle_files(spark) - before
+    for _ in range(50):
+        if left:
+            time.sleep(0.2)
+            left = _shuffle_files(spark) - before
+    assert not left and spark.conf.get(_DROP_SHUFFLES) == old
+    assert sorted(kept.collect()) == sorted(df.collect()) == sorted(df.collect())
+
+
+def test_tiebreaks_behind_the_shown_columns_are_not_read(spark):
+    rng = random.Random(5)
+    rows = [tuple(rng.choice((None, 0, 1)) for _ in range(6)) + (rng.choice((0.0, -0.0, 1.0)),) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a int, k int, b int, t int, c int, d int, x double")
+    for shown in (["k", "t"], ["k", "a"], ["b", "k", "t"], ["c"], ["k", "b", "x"], ["d", "a", "t", "k"]):
+        for pick in (keep.first_per_key, keep.last_per_key):
+            got, want = pick(df, ["k"], ["t"], shown), pick(df, ["k"], ["t"]).select(*shown)
+            assert got.columns == shown and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    read = keep.last_per_key(df, ["k"], ["t"], ["k", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "a#" in read and "b#" in read and not any(f"{c}#" in read.split("LogicalRDD")[0] for c in ("c", "d", "x"))
+
+
+def _joined_parts(spark):
+    """Sales with orders and stock: some twice, some without a number, some as little known as pseudo sales and transfers."""
+    day = "timestamp_ntz'1998-05-06 00:00:00'"
+    sold, used, moved = _final_parts(spark)
+    bare = spark.createDataFrame([("V1", "C", "调拨车", "其他", 3.0, *[None] * 30), (None, "N", "s", "t", 4.0, *[1.0] * 30), (None, "N", "s", "t", 4.0, *[1.0] * 30)], sold.drop("sale_date", "used_rebate").schema)
+    bare = bare.withColumns({"sale_date": F.expr(day), "used_rebate": F.lit(None).cast("double")})
+    few = spark.createDataFrame([("V9", "D", "s", "t", 5.0, *[None] * 30)] * 2, sold.drop("sale_date", "used_rebate").schema)
+    few = few.withColumns({"sale_date": F.expr(day), "used_rebate": F.lit(None).cast("double")})
+    booked = spark.createDataFrame([("V1", "I1", 1), ("V1", "I2", 2), ("V9", "I9", 1)], "vin string, id_number string, order_date int")
+    homes = spark.createDataFrame([("V2", "H", "S", "E")], "vin string, source_store string, supplier string, engine_no string")
+    return sold.unionByName(bare).unionByName(few), used, moved, booked, homes
+
+
+def test_final_sales_kept_in_parts_are_the_same_rows(spark):
+    """Equal sales already lie together behind the joins: their distinct adds no shuffle, and the parts hold the rows of the whole."""
+    sold, *parts, booked, homes = _joined_parts(spark)
+    rows = lambda df: sorted(map(str, df.collect()))
+    # rows without a number that become equal by their date, which the spread of such rows is made of
+    late = sold.where("vin IS NULL").withColumns({"receipt_date": F.col("sale_date"), "sale_date": F.lit(None).cast("timestamp_ntz")})
+    dated = sold.withColumn("receipt_date", F.col("sale_date")).unionByName(late)
+    for some in (sold, dated.select("sale_date", *[c for c in dated.columns if c != "sale_date"])):
+        kept = {}
+        out = sales.sales_final(some, *parts, booked, homes, keep=lambda df, name: kept.setdefault(name, df))
+        want = sales.sales_final(some, *parts, booked, homes)
+        assert out.columns == want.columns and out.schema.simpleString() == want.schema.simpleString()
+        assert rows(out) == rows(want) and want.count() == want.distinct().count()
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        top, below = str(kept["final-sales"].select("*")._jdf.queryExecution().executedPlan()).split("SortMergeJoin", 1)
+    assert "HashAggregate" in top and "Exchange" not in top and "Exchange" in below
+
+
+def test_export_of_some_columns_reads_no_tiebreak_behind_them(spark):
+    sold, used, moved, booked, homes = _joined_parts(spark)
+    final = sales.sales_final(sold, used, moved, booked, homes)
+    twin = sold.where("vin = 'V1'").withColumns({"store": F.lit("Z"), "c3": F.lit(-1.0)})
+    final = final.unionByName(sales.sales_final(twin, used, moved, booked, homes))
+    paid = spark.createDataFrame([], "store string, first_receipt string")
+    cols = ["vin", "store", "team", "sale_date"]
+    whole = sales.export_tables(final, paid, ["team", "store"], ["unit_profit"], "1998-01-01")
+    some = sales.export_tables(final, paid, ["team", "store"], ["unit_profit"], "1998-01-01", cols)
+    for a, b in ((whole[0], some[0]), (whole[2], some[2])):
+        assert b.columns == cols
+        assert sorted(map(str, a.select(*cols).distinct().collect())) == sorted(map(str, b.distinct().collect()))
+    direct = sales.export_tables(sold.withColumn("receipt_date", F.col("sale_date")), paid, ["team", "store"], ["unit_profit"], "1998-01-01", cols)[0]
+    ordered = direct._jdf.queryExecution().optimizedPlan().toString().split("Window [")[1].split("LogicalRDD")[0]
+    assert "c29#" not in ordered
+
+
+def test_used_cars_without_a_number_are_not_dealt_to_the_lookup(spark):
+    day = "timestamp_ntz'1998-05-06 00:00:00'"
+    rows = [("V1", "b"), ("V1", "b"), ("V2", "b"), ("V2", "B1"), ("", "b"), ("", "B1"), (None, "b"), (None, None), ("V3", None)]
+    used = spark.createDataFrame([(v, b, "A", "9", "S", "M", V.RECEIVED) for v, b in rows], "trade_in_vin string, buyer string, store string, other_fee string, lead_by string, model string, receipt_state string")
+    used = used.withColumns({"deal_price": F.lit(1.0), "receipt_date": F.expr(day)})
+    invoices = spark.createDataFrame([("V1", "I"), ("V3", None), ("", "I")], "vin string, invoice_store string").withColumn("download_time", F.expr(day))
+    loose, traded = sales.used_car_parts(used, invoices, ["B1"])
+    # V1 has an invoice; V2 has none, the store of V3's is not known, and four have no number
+    assert sorted(str(r["buyer"]) for r in loose.collect()) == ["None", "None", "b", "b", "b"] and traded.count() == 5
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        plan = str(loose.select("*")._jdf.queryExecution().executedPlan())
+    assert plan.split("SortMergeJoin")[0].count("Exchange") == 0 and "Union" in plan.split("SortMergeJoin")[0]
